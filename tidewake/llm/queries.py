@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewake.llm import lm, quality, simhash
+from tidewake.llm import lm, quality, simhash, warc
 from tidewake.llm.common import table
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.archived(table(spark, sf_dir, "pages"))
+    return back.select(
+        warc.page_number(F.col("record_id")).alias("page_id"), F.col("http_length").alias("payload_bytes"), "payload_digest", "record_type",
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -27,6 +35,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
     "op4_quality_rules": op4_quality_rules,
     "op5_lm_scoring": op5_lm_scoring,
     "op7_simhash": op7_simhash,
@@ -58,6 +67,11 @@ judged AS (SELECT *, NOT base_failed AND n_words <= 100000 AND word_chars / n_wo
 """
 
 ORACLES: dict[str, str] = {
+    "op2_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT payload_bytes, sha1(coalesce(html, '')) payload_digest FROM pages),
+l AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END last FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN last > page_id THEN 'revisit' ELSE 'response' END record_type,
+       CASE WHEN last > page_id THEN last END refers_to FROM l""",
     "op4_quality_rules": f"""
 WITH docs AS (SELECT row_number() OVER () rid, doc_id, lang, coalesce(text, '') t FROM documents), {QUALITY_SQL}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""",
