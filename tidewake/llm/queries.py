@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewake.llm import lm, quality, simhash, warc
+from tidewake.llm import linededup, lm, mixing, pieces, quality, simhash, warc
 from tidewake.llm.common import table
 
+#: The model for op1; a parameter of the operator.
+PIECES_MODEL = os.environ.get("TIDEWAKE_PIECES_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+#: Target weights of op3.
+WEIGHTS = {"src0": 0.24, **{f"src{i}": 0.04 for i in range(1, 20)}}
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode_and_verify(docs, pieces.load_model(PIECES_MODEL)).select("doc_id", "n_pieces", "lossless", "pieces")
+
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = warc.archived(table(spark, sf_dir, "pages"))
@@ -19,6 +30,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix_sources(docs, WEIGHTS)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -29,15 +45,23 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.lm_scores(table(spark, sf_dir, "documents"), apart)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.line_dedup(docs)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
+    "op3_source_mixing": op3_source_mixing,
     "op4_quality_rules": op4_quality_rules,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_line_dedup": op6_line_dedup,
     "op7_simhash": op7_simhash,
 }
 
@@ -75,4 +99,17 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN last > page_id THEN 're
     "op4_quality_rules": f"""
 WITH docs AS (SELECT row_number() OVER () rid, doc_id, lang, coalesce(text, '') t FROM documents), {QUALITY_SQL}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged""",
+    "op6_line_dedup": rf"""
+WITH d AS (SELECT row_number() OVER () rid, doc_id, text FROM documents),
+l AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) x, unnest(range(len(string_split(text, chr(10))))) i FROM d),
+s AS (SELECT rid, doc_id, i, regexp_replace(regexp_replace(x, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') x FROM l),
+c AS (SELECT *, len(string_split_regex(x, '[\x20\x09-\x0D]+')) n FROM s WHERE x <> ''),
+t AS (SELECT *, sum(n) OVER (PARTITION BY rid ORDER BY i) upto FROM c),
+e AS (SELECT a.rid, a.doc_id, a.i, min(b.i) till FROM t a JOIN t b ON a.rid = b.rid AND b.i >= a.i AND b.upto - a.upto + a.n >= {linededup.LEAST_WORDS} GROUP BY ALL),
+w AS (SELECT e.rid, e.doc_id, e.i, e.till, string_agg(t.x, chr(10) ORDER BY t.i) k FROM e JOIN t ON e.rid = t.rid AND t.i BETWEEN e.i AND e.till GROUP BY ALL),
+f AS (SELECT *, first_value((rid, i, till)) OVER (PARTITION BY k ORDER BY doc_id, i) o FROM w),
+g AS (SELECT rid, CASE WHEN rid = o[1] THEN greatest(i, o[3] + 1) ELSE i END i, till FROM f WHERE (rid, i) <> (o[1], o[2])),
+gone AS (SELECT DISTINCT rid, unnest(range(i, till + 1)) i FROM g),
+kept AS (SELECT l.rid, string_agg(l.x, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL) text, count(gone.i) n FROM l LEFT JOIN gone ON l.rid = gone.rid AND l.i = gone.i GROUP BY 1)
+SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text, coalesce(n, 0)::BIGINT removed_lines FROM d LEFT JOIN kept USING (rid)""",
 }
