@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewake.llm import linededup, lm, mixing, pieces, quality, simhash, warc
+from tidewake.llm import chat, licences, linededup, lm, mixing, pieces, quality, simhash, topk, warc
 from tidewake.llm.common import table
 
 #: The model for op1; a parameter of the operator.
@@ -55,6 +55,22 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths, so each is filed by its source, language and number."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    out = licences.licence_scan(docs.select("doc_id", path.alias("path"), "text"))
+    return out.select("doc_id", "path", "licence", "cosine", "origin", "origin_id")
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.reply_order(table(spark, sf_dir, "conversations"))
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
@@ -63,6 +79,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lm_scoring": op5_lm_scoring,
     "op6_line_dedup": op6_line_dedup,
     "op7_simhash": op7_simhash,
+    "op8_licence_scan": op8_licence_scan,
+    "op9_chat_format": op9_chat_format,
+    "op10_topk": op10_topk,
 }
 
 _STOP = ", ".join(f"'{form}'" for form in sorted({form for ws in quality.STOP_WORDS.values() for w in ws for form in (w, w.capitalize())}))
@@ -112,4 +131,22 @@ g AS (SELECT rid, CASE WHEN rid = o[1] THEN greatest(i, o[3] + 1) ELSE i END i,
 gone AS (SELECT DISTINCT rid, unnest(range(i, till + 1)) i FROM g),
 kept AS (SELECT l.rid, string_agg(l.x, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL) text, count(gone.i) n FROM l LEFT JOIN gone ON l.rid = gone.rid AND l.i = gone.i GROUP BY 1)
 SELECT doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(kept.text, '') END AS text, coalesce(n, 0)::BIGINT removed_lines FROM d LEFT JOIN kept USING (rid)""",
+    "op10_topk": f"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x > 0) b FROM embeddings WHERE len(embedding) > 0),
+p AS (SELECT q.vec_id query_id, e.vec_id neighbour_id, len(list_filter(list_zip(q.b, e.b), lambda z: z[1] <> z[2]))::INTEGER distance
+      FROM e q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id)::INTEGER rank, neighbour_id, distance FROM p
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) <= {topk.K}""",
+    "op9_chat_format": r"""
+WITH RECURSIVE l AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) x FROM conversations),
+n AS (SELECT conv_id, turn, length(regexp_replace(regexp_extract(x, '^[ \t]*>[> \t]*'), '[^>]', '', 'g')) lev,
+        trim(regexp_replace(lower(regexp_replace(x, '^[ \t]*>[> \t]*', '')), '[\x20\x09-\x0D]+', ' ', 'g')) p FROM l),
+o AS (SELECT conv_id, p, min(turn) origin FROM n WHERE lev = 0 AND p <> '' GROUP BY ALL),
+v AS (SELECT n.conv_id, n.turn, o.origin, sum(length(n.p)) size FROM n JOIN o USING (conv_id, p) WHERE lev = 1 AND origin < n.turn GROUP BY ALL),
+r AS (SELECT conv_id, turn, max((size, origin))[2] parent FROM v GROUP BY ALL),
+m AS (SELECT DISTINCT c.conv_id, c.turn, r.parent FROM conversations c LEFT JOIN r USING (conv_id, turn)),
+t AS (SELECT conv_id, turn, turn root_turn, 0::BIGINT depth FROM m WHERE parent IS NULL
+      UNION ALL SELECT m.conv_id, m.turn, t.root_turn, t.depth + 1 FROM m JOIN t ON m.conv_id = t.conv_id AND m.parent = t.turn)
+SELECT c.conv_id, c.turn, c.role, array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^[ \t]*>')), chr(10)) AS text,
+       m.parent parent_turn, t.root_turn, t.depth FROM conversations c JOIN m USING (conv_id, turn) JOIN t USING (conv_id, turn)""",
 }
