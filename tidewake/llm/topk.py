@@ -72,7 +72,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector:
         masks = F.array(*[F.lit(sum(1 << b for b in c)) for c in combinations(range(WIDTH), s)]) if s < 4 else F.filter(F.sequence(F.lit(0), F.lit((1 << WIDTH) - 1)), lambda m: F.bit_count(m) == s)
         probes = pending.select("q", F.explode(F.array(*[F.struct(F.lit(j).alias("j"), _segment(F.col("q"), j).alias("own")) for j in range(SEGMENTS)])).alias("p"), masks.alias("masks"))
         probes = probes.select("q", F.col("p.j").alias("j"), F.col("p.own").alias("own"), F.explode("masks").alias("mask")).select("q", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
-        hits = probes.join(index, ["j", "part"])
+        hits = probes.hint("merge").join(index, ["j", "part"])  # an explosion looks as small as what explodes, and would be broadcast
         first = F.lit(True)
         for j in range(SEGMENTS):
             d = _differ(F.col("q"), F.col("code"), j)
