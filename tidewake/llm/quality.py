@@ -125,3 +125,14 @@ def quality_rules(df: DataFrame, text: str = "text", lang: str | None = "lang",
     df = quality_features(df, text, lang)
     failed = (F.col("n_words") < BASE_LEAST_WORDS) | (100 * F.col("n_repeat_words") > BASE_MOST_REPEATED * F.col("n_words"))
     return df.withColumn("base_failed", failed).withColumn("kept", ~failed & verdict(rules, lang))
+
+
+def keep_good(df: DataFrame, text: str = "text", lang: str | None = "lang", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """df's rows that the rules keep, as they are.
+
+    A filter on `kept` alone would be pushed below the projections, which writes their
+    expressions out over and over inside each other. The row number is not the same from run
+    to run, so the optimiser leaves the filter where it is.
+    """
+    judged = quality_rules(df, text, lang, rules).withColumn("_row", F.monotonically_increasing_id())
+    return judged.where("_row >= 0 AND kept").select(*df.columns)
