@@ -8,6 +8,7 @@ strict_compat is set, which decodes with an Arrow function instead.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,8 +81,6 @@ def error_or(error: Column, kind: Column) -> Column:
 
 def decode_compat(df: DataFrame, value: str = "value_str") -> DataFrame:
     """decode() by a lenient JSON parser, for NaN, Infinity and repeated keys; an Arrow function."""
-    import pandas as pd
-
     @F.pandas_udf("operation string, before string, after string, source_timestamp timestamp, source_lsn bigint, transaction_id string, parse_error_type string, parse_error_message string")
     def fields(values: pd.Series) -> pd.DataFrame:
         rows = [lenient(v) for v in values]
