@@ -28,8 +28,9 @@ from pyspark.sql.window import Window
 
 BLOCK_ROWS = 64
 RESOLUTION = 100
-#: Rows in one of the parts in which a source is ranked.
-PART_ROWS = 50_000
+#: All sources' rows to one of the parts in which each is ranked, and the fewest parts.
+PART_ROWS = 10_000
+LEAST_PARTS = 64
 
 
 def shares(weights: list[float], resolution: int) -> list[int]:
@@ -94,7 +95,7 @@ def mix_sources(df: DataFrame, weights: dict[str, float], id_col: str = "doc_id"
         raise ValueError(f"sources without a weight over 0: {sorted(unlisted)}")
     table = schedule([-(-counts.get(i, 0) // block_rows) for i in range(len(names) + 1)], [*weights.values(), other_weight], resolution)
 
-    parts = max(1, -(-total // PART_ROWS)) * 4
+    parts = max(LEAST_PARTS, -(-total // PART_ROWS))
     rows = rows.withColumn("_part", F.shiftrightunsigned("_hash", 32) * parts / F.lit(1 << 32)).withColumn("_part", F.floor("_part").cast("long"))
     sizes = rows.groupBy("_source", "_part").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
