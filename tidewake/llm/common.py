@@ -14,6 +14,8 @@ WHITE_RUN = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A key with more than one in so many rows is hot; so there are fewer hot keys than this.
 HOT_PARTS = 1000
+#: Keys with fewer rows are never hot; of others a smaller table has at most HOT_PARTS, too.
+LEAST_HOT = 100
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -66,7 +68,7 @@ def attach(left: DataFrame, right: DataFrame, key: str, salt: Column, total: int
     all others have few rows each and are joined by a shuffle, in which the
     rows with a hot key, or none, are dealt out by salt.
     """
-    bound = max(total // HOT_PARTS, 1000)
+    bound = max(total // HOT_PARTS, LEAST_HOT)
     values = F.struct(*[c for c in right.columns if c not in (key, "n")])
     hot = right.where(F.col("n") > bound).select(F.col(key).alias("_hot_key"), values.alias("_hot"))
     cold = right.where(F.col("n") <= bound).select(F.col(key).alias("_cold_key"), F.lit(0).cast("long").alias("_zero"), values.alias("_cold"))
