@@ -71,7 +71,7 @@ def attach(left: DataFrame, right: DataFrame, key: str, salt: Column, total: int
     bound = max(total // HOT_PARTS, LEAST_HOT)
     values = F.struct(*[c for c in right.columns if c not in (key, "n")])
     hot = right.where(F.col("n") > bound).select(F.col(key).alias("_hot_key"), values.alias("_hot"))
-    cold = right.where(F.col("n") <= bound).select(F.col(key).alias("_cold_key"), F.lit(0).cast("long").alias("_zero"), values.alias("_cold"))
+    cold = right.where(F.col("n") <= bound).select(F.col(key).alias("_cold_key"), (F.col("n") % 1).alias("_zero"), values.alias("_cold"))  # not a literal, or the join would be dealt out by the key alone
     mixed = left.join(F.broadcast(hot), left[key] == F.col("_hot_key"), "left")
     mixed = mixed.withColumn("_salt", F.when(F.col("_hot_key").isNotNull() | F.col(key).isNull(), salt).otherwise(F.lit(0).cast("long")))
     out = mixed.join(cold, (F.col(key) == F.col("_cold_key")) & (F.col("_salt") == F.col("_zero")), "left")
