@@ -24,7 +24,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import ascii_lower, attach, spread, words
+from tidewake.llm.common import ascii_lower, attach, spread, stored, words
 
 #: Opening lines of common licences, and the notices that point to them.
 TEMPLATES: dict[str, list[str]] = {
@@ -63,6 +63,7 @@ def scored(files: DataFrame, least_cosine: float = LEAST_COSINE) -> DataFrame:
     known = F.array(*[F.lit(w) for w in vocabulary])
     total = files.count()
     seen = files.select(F.explode(F.array_intersect(bare(F.col("_text")), known)).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+    seen = stored(seen, "terms")  # used more than once
     terms = spark.range(1).select(F.explode(known).alias("word")).join(F.broadcast(seen), "word", "left")
     idf = lambda df: F.log((F.lit(total) + 1) / (df + 1)) + 1
     terms = terms.select("word", idf(F.coalesce("df", F.lit(0))).alias("idf"))
@@ -99,7 +100,7 @@ def licence_scan(df: DataFrame, id_col: str = "doc_id", path: str = "path", text
     """df with licence, cosine, origin (file, header, inherited or null) and origin_id."""
     df = df.drop("licence", "cosine", "origin", "origin_id")
     files = df.select(F.col(id_col).alias("_id"), F.col(path).alias("_path"), F.col(text).alias("_text"))
-    found = scored(files, least_cosine)
+    found = stored(scored(files, least_cosine), "licences")
     own = found.groupBy("_id", "_path").agg(F.max(F.struct("whole", "licence", "cosine")).alias("own"))
     whole = found.where("whole AND _path IS NOT NULL").withColumn("dir", F.array_join(F.filter(F.split(directory(F.col("_path")), "/"), lambda x: x != ""), "/"))
     given = whole.groupBy("dir").agg(F.min(F.struct((-F.col("cosine")).alias("less"), F.col("_id").alias("id"), "licence", "cosine")).alias("g"))
