@@ -38,9 +38,14 @@ TEMPLATES: dict[str, list[str]] = {
 LEAST_COSINE = 0.8
 
 
-def bare(text: Column) -> Column:
-    """Words in lower case, without signs at their ends."""
-    return F.filter(F.transform(words(ascii_lower(text)), lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")), lambda w: w != "")
+#: Signs at the start of a word, and at its end behind a letter or digit. Each run of signs is tried once.
+SIGNS_AT_ENDS = r"(?<![^\x20\x09-\x0D])[^\p{L}\p{N}\x20\x09-\x0D]++|(?<=[\p{L}\p{N}])[^\p{L}\p{N}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
+
+
+def bare_lines(text: Column) -> Column:
+    """For each line its words in lower case, without signs at their ends."""
+    bare = F.regexp_replace(ascii_lower(text), SIGNS_AT_ENDS, "")
+    return F.transform(F.split(bare, "\n"), words)
 
 
 def _template_words() -> list[tuple[str, int, str, int]]:
@@ -62,20 +67,20 @@ def scored(files: DataFrame, least_cosine: float = LEAST_COSINE) -> DataFrame:
     vocabulary = sorted({w for _, _, w, _ in rows})
     known = F.array(*[F.lit(w) for w in vocabulary])
     total = files.count()
-    seen = files.select(F.explode(F.array_intersect(bare(F.col("_text")), known)).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    seen = stored(seen, "terms")  # used more than once
-    terms = spark.range(1).select(F.explode(known).alias("word")).join(F.broadcast(seen), "word", "left")
+    cut = files.select("_id", "_path", bare_lines(F.col("_text")).alias("lines")).withColumn("all", F.flatten("lines")).withColumn("known", F.array_intersect("all", known))
+    part = lambda place, whole, w: F.struct(place.alias("place"), F.lit(whole).alias("whole"), w.alias("w"))
+    parts = F.concat(F.transform("lines", lambda w, i: part(i, False, w)), F.array(part(F.size("lines"), True, F.col("all"))))
+    familiar = lambda p: (F.size(p["w"]) > 0) & (2 * F.size(F.array_intersect(p["w"], F.col("known"))) >= F.size(F.array_distinct(p["w"])))
+    cut = stored(cut.select("_id", "_path", "known", F.filter(parts, familiar).alias("parts")), "passages")  # used more than once
+    seen = cut.select(F.explode("known").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     idf = lambda df: F.log((F.lit(total) + 1) / (df + 1)) + 1
+    terms = spark.range(1).select(F.explode(known).alias("word")).join(F.broadcast(seen), "word", "left")
     terms = terms.select("word", idf(F.coalesce("df", F.lit(0))).alias("idf"))
     literal = F.array(*[F.struct(F.lit(a).alias("licence"), F.lit(i).alias("form"), F.lit(w).alias("word"), F.lit(n).alias("tf")) for a, i, w, n in rows])
     templates = spark.range(1).select(F.inline(literal)).join(F.broadcast(terms), "word").withColumn("t", F.col("tf") * F.col("idf"))
     norms = templates.groupBy("licence", "form").agg(F.sqrt(F.sum(F.col("t") * F.col("t"))).alias("t_norm"))
 
-    lines = F.split("_text", "\n")
-    part = lambda whole, x: F.struct(F.lit(whole).alias("whole"), x.alias("part"))
-    parts = F.concat(F.transform(lines, lambda x: part(False, x)), F.array(part(True, F.col("_text"))))
-    cut = files.select("_id", "_path", F.posexplode(parts).alias("place", "p")).select("_id", "_path", "place", "p.whole", bare(F.col("p.part")).alias("w"))
-    cut = cut.withColumn("n_known", F.size(F.array_intersect("w", known))).where((F.col("n_known") > 0) & (2 * F.col("n_known") >= F.size(F.array_distinct("w"))))
+    cut = cut.select("_id", "_path", F.inline("parts"))
     key = ["_id", "_path", "place", "whole"]
     counted = cut.select(*key, F.explode("w").alias("word")).groupBy(*key, "word").agg(F.count("*").alias("n"))
     counted = counted.join(F.broadcast(terms), "word", "left").withColumn("v", F.col("n") * F.coalesce("idf", idf(F.lit(0))))
