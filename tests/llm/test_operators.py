@@ -354,3 +354,16 @@ def test_topk_edges(spark):
         assert [(r.distance, r.neighbour_id) for r in sorted((r for r in out if r.query_id == q), key=lambda r: r.rank)] == near
     assert {r.query_id for r in out} == {0, 50, 100}
     assert topk.search(spark.createDataFrame([], "vec_id bigint, embedding array<float>"), F.lit(True)).count() == 0
+
+
+def test_bare_lines_strip_signs_at_both_ends_only(spark):
+    import regex
+
+    rng = random.Random(4)
+    texts = [None, "", "\n", "--- !!\n(The-End),\tÉté…  x \n", "-" * 2000 + "a" + "-" * 2000 + "b", "a\u0085  b \U0001f600c\U0001f600"]
+    texts += ["".join(rng.choice("aB9é-.,(  \t\r\n") for _ in range(60)) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i bigint, t string").select("i", licences.bare_lines(F.col("t")).alias("w"))
+    for i, found in df.collect():
+        lower = texts[i] and re.sub("[A-Z]", lambda m: m[0].lower(), texts[i])
+        want = lower if lower is None else [[x for x in (regex.sub(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "", w) for w in words(line)) if x] for line in lower.split("\n")]
+        assert found == want
