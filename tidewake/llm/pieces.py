@@ -250,8 +250,10 @@ def encode_texts(texts: list[str | None], keys: list[object], model: Model, seed
 
 def _batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Slices of about CHARS_AT_ONCE."""
+    import pyarrow.compute as pc
+
     for b in batches:
-        sizes = np.array([x or 0 for x in pa.compute.binary_length(b.column(column)).to_pylist()], np.int64) if b.num_rows else np.zeros(0, np.int64)
+        sizes = np.array([x or 0 for x in pc.binary_length(b.column(column)).to_pylist()], np.int64) if b.num_rows else np.zeros(0, np.int64)
         group = np.cumsum(sizes) // CHARS_AT_ONCE
         cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), b.num_rows]
         for i, j in zip(cuts[:-1], cuts[1:], strict=True):
