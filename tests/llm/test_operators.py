@@ -265,6 +265,9 @@ def test_simhash(spark, least_hot):
     assert simhash.fingerprint(b"A b  C\nd") == a & b and simhash.fingerprint(b"one TWO") == xxh64_intdigest("one two", 42)
     kept = simhash.keep_one(df.select("doc_id", "text")).collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
+    odd = [(1, "alpha beta gamma"), (1, "one two three four"), (None, "alpha beta gamma"), (None, "nobody has this id"), (None, "nobody has this id"), (2, "one two three four"), (1, "alpha beta gamma")]
+    kept = simhash.keep_one(spark.createDataFrame(odd, "doc_id bigint, text string").withColumn("fp", F.lit("mine"))).collect()
+    assert sorted(map(repr, kept)) == sorted(repr(kept[0].__class__(doc_id=i, text=t, fp="mine")) for i, t in [odd[0], odd[1], odd[3]])
     edge = simhash.near_duplicates(docs(spark)).collect()
     assert len(edge) == len(EDGES) and {r.doc_id: r.component_id for r in edge}[2] == 1
     assert simhash.near_duplicates(docs(spark, [])).count() == 0

@@ -241,12 +241,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """df with one document of each group: that with the smallest id; of rows with this id, one. Rows with a null id stay only if none in their group has one."""
-    found = near_duplicates(df, id_col, text)
-    keep = found.groupBy("component_id").agg(F.min(id_col).alias("_id"), F.min("fp").alias("_fp")).where("component_id is not null").select(F.col("component_id").alias("_keep")).distinct()
-    kept = df.join(keep, df[id_col] == keep["_keep"], "left_semi")
-    unnamed = df.where(F.col(id_col).isNull())
-    return kept.dropDuplicates([id_col]).unionByName(unnamed)
+    """df with one row of each group: that with the smallest id, null coming last; of texts that share this id, that with the least hash; of equal rows, any."""
+    keyed = df.withColumn("_key", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("sum")))
+    keep = near_duplicates(keyed, "_key", text).where("_key = component_id").select(F.col("_key").alias("_keep")).distinct()
+    return keyed.join(keep, keyed["_key"] == keep["_keep"], "left_semi").dropDuplicates(["_key"]).select(*df.columns)
 
 
 def hex_fingerprint() -> F.Column:
