@@ -370,3 +370,19 @@ def test_bare_lines_strip_signs_at_both_ends_only(spark):
         lower = texts[i] and re.sub("[A-Z]", lambda m: m[0].lower(), texts[i])
         want = lower if lower is None else [[x for x in (regex.sub(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "", w) for w in words(line)) if x] for line in lower.split("\n")]
         assert found == want
+
+
+@pytest.mark.parametrize("per_segment", [1 << 17, 2])
+def test_filter_of_many_segments(spark, monkeypatch, per_segment):
+    monkeypatch.setattr(lm, "SEGMENT_GRAMS", per_segment)
+    rng = np.random.default_rng(6)
+    grams = np.unique(rng.integers(0, 1 << lm.GRAM_BITS, 3000).astype(np.uint64))
+    counts = rng.integers(1, 500, len(grams))
+    number_bits = lm.segment_bits_for(len(grams))
+    assert number_bits == (8 if per_segment > 2 else 11)
+    parts = [lm._blobs(grams, counts - counts // 2, number_bits), lm._blobs(grams[counts > 1], (counts // 2)[counts > 1], number_bits)]
+    rows = [tuple(r.values()) for p in parts for r in p.to_pylist()]
+    bloom = lm.build_filter(spark.createDataFrame(rows, lm._BLOBS), 200 * len(grams) if per_segment > 2 else len(grams))
+    level = np.searchsorted(lm.STARTS, counts, "right")
+    got = bloom.levels(grams)
+    assert (got >= level).mean() > 0.99 and (got == level).mean() > 0.8

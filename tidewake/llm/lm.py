@@ -5,7 +5,7 @@ a token, and stands before its first word too). A count c is stored as its level
 on a logarithmic scale: the n-gram is put into the filter once for each level from
 1 to its own. To read it, levels are probed until one is missing. The filter is
 blocked: all bits of an entry lie in one block of 512 bits, so a segment of the
-filter is made by one task from the n-grams whose hashes lead there, and only the
+filter (there are more of them, the more n-grams there are) is made by one task from the n-grams whose hashes lead there, and only the
 finished bits reach the driver. Their size is bounded by max_bits, whatever the
 corpus. A segment in which the entries would be too dense raises the least level
 that it stores (LEAST_BITS), a count cut-off that depends on the load alone.
@@ -47,9 +47,13 @@ PROBES = 4
 LEAST_BITS = 6.0
 BITS_PER_TOKEN = 6
 MAX_BITS = 1 << 29
-#: Bits of a hash that name the segment, and bytes of the rest that are kept.
-SEGMENT_BITS = 8
+#: Bits of a hash that are kept, and bytes of those behind the first 8, which a segment's number gives back.
+GRAM_BITS = 48
 REST_BYTES = 5
+#: Gathered n-grams to a segment, and to a task that builds segments; the fewest and most bits of a segment's number.
+SEGMENT_GRAMS = 1 << 17
+TASK_GRAMS = 1 << 21
+LEAST_SEGMENT_BITS, MOST_SEGMENT_BITS = 8, 16
 #: Words that a worker keeps by heart, and n-grams that it gathers, before it begins anew.
 CACHE = 300_000
 GATHER = 3_000_000
@@ -82,7 +86,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def short(h: np.ndarray) -> np.ndarray:
     """The 48 bits of a hash that the filter knows."""
-    return h >> np.uint64(64 - SEGMENT_BITS - 8 * REST_BYTES)
+    return h >> np.uint64(64 - GRAM_BITS)
+
+
+def segment_bits_for(grams: int) -> int:
+    """Bits of a segment's number, for so many gathered n-grams."""
+    return min(max((grams // SEGMENT_GRAMS).bit_length(), LEAST_SEGMENT_BITS), MOST_SEGMENT_BITS)
+
+
+def segment_of(grams: np.ndarray, bits: int) -> np.ndarray:
+    return (grams >> np.uint64(GRAM_BITS - bits)).astype(np.int64)
 
 
 def unigram(h: np.ndarray) -> np.ndarray:
@@ -136,15 +149,13 @@ class LogBloom:
     bits: np.ndarray
     segment_blocks: int
 
-    def places(self, grams: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-        return places(grams, level, self.segment_blocks)
-
     def levels(self, grams: np.ndarray) -> np.ndarray:
         out, left = np.zeros(len(grams), np.int64), np.arange(len(grams))
+        size = self.segment_blocks * BLOCK_BITS
+        begins = segment_of(grams, (8 * len(self.bits) // size).bit_length() - 1) * size
         cut = 1
         while len(left) and cut < len(VALUES):
-            segment, place = self.places(grams[left], cut)
-            base = segment * (self.segment_blocks * BLOCK_BITS)
+            base, place = begins[left], places(grams[left], cut, self.segment_blocks)
             there = np.ones(len(left), bool)
             for p in range(PROBES):
                 q = base + place[p]
@@ -159,13 +170,12 @@ class LogBloom:
         return VALUES[self.levels(distinct)][back]
 
 
-def places(grams: np.ndarray, level: int, segment_blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Segment of each n-gram, and PROBES bits inside the segment for its level."""
-    segment = (grams >> np.uint64(8 * REST_BYTES)).astype(np.int64)
+def places(grams: np.ndarray, level: int, segment_blocks: int) -> np.ndarray:
+    """PROBES bits of each n-gram inside its segment, for a level."""
     h = mix(grams * _M + np.uint64(1))
     block = (h % np.uint64(segment_blocks)).astype(np.int64) * BLOCK_BITS
     x = mix(h + np.uint64(level * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
-    return segment, np.stack([block + ((x >> np.uint64(9 * p)) & np.uint64(BLOCK_BITS - 1)).astype(np.int64) for p in range(PROBES)])
+    return np.stack([block + ((x >> np.uint64(9 * p)) & np.uint64(BLOCK_BITS - 1)).astype(np.int64) for p in range(PROBES)])
 
 
 def segment_bits(grams: np.ndarray, counts: np.ndarray, segment_blocks: int) -> bytes:
@@ -179,7 +189,7 @@ def segment_bits(grams: np.ndarray, counts: np.ndarray, segment_blocks: int) ->
     bits = np.zeros(segment_blocks * BLOCK_BITS, np.uint8)
     k = 1
     while len(grams):
-        bits[places(grams, k, segment_blocks)[1].ravel()] = 1
+        bits[places(grams, k, segment_blocks).ravel()] = 1
         grams, level = grams[level > k], level[level > k]
         k += 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -188,16 +198,16 @@ def segment_bits(grams: np.ndarray, counts: np.ndarray, segment_blocks: int) ->
 _BLOBS = "segment int, rest binary, counts binary"
 
 
-def _blobs(grams: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+def _blobs(grams: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
     """Rows of a segment's n-grams (sorted) and counts."""
-    segment = (grams >> np.uint64(8 * REST_BYTES)).astype(np.int64)
-    cuts = np.searchsorted(segment, np.arange((1 << SEGMENT_BITS) + 1))
+    cuts = np.searchsorted(segment_of(grams, bits), np.arange((1 << bits) + 1)).tolist()
     rest = np.ascontiguousarray(grams[:, None].view(np.uint8)[:, :REST_BYTES])
-    some = [(s, cuts[s], cuts[s + 1]) for s in range(1 << SEGMENT_BITS) if cuts[s + 1] > cuts[s]]
+    counts = counts.astype(np.int32 if len(counts) and counts.max() < 1 << 31 else np.int64)
+    some = [(s, cuts[s], cuts[s + 1]) for s in range(1 << bits) if cuts[s + 1] > cuts[s]]
     return pa.RecordBatch.from_arrays([
         pa.array([s for s, _, _ in some], pa.int32()),
         pa.array([rest[i:j].tobytes() for _, i, j in some], pa.binary()),
-        pa.array([counts[i:j].astype(np.int32 if counts.max() < 1 << 31 else np.int64).tobytes() for _, i, j in some], pa.binary()),
+        pa.array([counts[i:j].tobytes() for _, i, j in some], pa.binary()),
     ], names=["segment", "rest", "counts"])
 
 
@@ -242,7 +252,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counts.groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("n").alias("n"))
 
 
-def bigram_blobs(docs: DataFrame) -> DataFrame:
+def bigram_blobs(docs: DataFrame, bits: int) -> DataFrame:
     """Counts of the training rows' pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,15 +269,15 @@ def bigram_blobs(docs: DataFrame) -> DataFrame:
                 parts = [_merged(parts)]
                 size = len(parts[0][0])
                 if size > GATHER // 2:
-                    yield _blobs(*parts[0])
+                    yield _blobs(*parts[0], bits)
                     parts, size = [], 0
         if parts:
-            yield _blobs(*_merged(parts))
+            yield _blobs(*_merged(parts), bits)
 
     return docs.where("not held_out").select("_t").mapInArrow(run, _BLOBS)
 
 
-def unigram_blobs(words: DataFrame, ends: int) -> DataFrame:
+def unigram_blobs(words: DataFrame, ends: int, bits: int) -> DataFrame:
     """Counts of the training rows' words. ends: the number of training rows, for the end token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,17 +286,19 @@ def unigram_blobs(words: DataFrame, ends: int) -> DataFrame:
         for b in batches:
             if b.num_rows:
                 h = np.fromiter((_END if w is None else xxh64_intdigest(w) for w in b.column("word").to_pylist()), np.uint64, b.num_rows)
-                yield _blobs(*_merged([(unigram(h), b.column("trained").to_numpy().astype(np.int64))]))
+                yield _blobs(*_merged([(unigram(h), b.column("trained").to_numpy().astype(np.int64))]), bits)
 
     end = words.sparkSession.range(1).select(F.lit(None).cast("binary").alias("word"), F.lit(ends).cast("bigint").alias("trained"))
     return words.where("trained > 0").select("word", "trained").union(end.where("trained > 0")).mapInArrow(run, _BLOBS)
 
 
-def build_filter(blobs: DataFrame, train_tokens: int, max_bits: int = MAX_BITS) -> LogBloom:
-    """The filter of all counts. Each task makes its segments; the driver puts at most max_bits together."""
-    wanted = min(max(BITS_PER_TOKEN * train_tokens, 1 << 20), max_bits)
-    segments = 1 << SEGMENT_BITS
+def build_filter(blobs: DataFrame, grams: int, max_bits: int = MAX_BITS) -> LogBloom:
+    """The filter of all counts, of so many n-grams, repeats included. Each task makes its segments, the more the more n-grams there are; the driver puts at most max_bits together."""
+    wanted = min(max(BITS_PER_TOKEN * grams, 1 << 20), max_bits)
+    number_bits = segment_bits_for(grams)
+    segments = 1 << number_bits
     blocks = max(1, wanted // (segments * BLOCK_BITS))
+    tasks = min(max(-(-grams // TASK_GRAMS), 8), segments)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
@@ -296,7 +308,7 @@ def build_filter(blobs: DataFrame, train_tokens: int, max_bits: int = MAX_BITS)
                 n = len(rest) // REST_BYTES
                 whole = np.zeros((n, 8), np.uint8)
                 whole[:, :REST_BYTES] = np.frombuffer(rest, np.uint8).reshape(n, REST_BYTES)
-                grams = whole.view(np.uint64)[:, 0] | np.uint64(segment << (8 * REST_BYTES))
+                grams = whole.view(np.uint64)[:, 0] | np.uint64((segment >> number_bits - (GRAM_BITS - 8 * REST_BYTES)) << 8 * REST_BYTES)
                 held.setdefault(segment, []).append((grams, np.frombuffer(counts, np.int32 if len(counts) == 4 * n else np.int64).astype(np.int64)))
                 sizes[segment] += n
                 if sizes[segment] > 2_000_000:
@@ -306,11 +318,13 @@ def build_filter(blobs: DataFrame, train_tokens: int, max_bits: int = MAX_BITS)
             grams, counts = _merged(held.pop(segment))
             yield pa.RecordBatch.from_pydict({"segment": pa.array([segment], pa.int32()), "bits": pa.array([segment_bits(grams, counts, blocks)], pa.binary())})
 
-    made = blobs.repartition(64, "segment").mapInArrow(run, "segment int, bits binary")
+    dealt = blobs.repartitionById(tasks, F.floor(F.col("segment").cast("long") * tasks / F.lit(segments)).cast("int"))
+    made = dealt.mapInArrow(run, "segment int, bits binary").toArrow()  # max_bits at most
     size = blocks * BLOCK_BITS // 8
     bits = np.zeros(segments * size, np.uint8)
-    for r in made.toLocalIterator():
-        bits[r.segment * size : (r.segment + 1) * size] = np.frombuffer(bytes(r.bits), np.uint8)
+    for b in made.to_batches():
+        for segment, own in zip(b.column("segment").to_pylist(), b.column("bits"), strict=True):
+            bits[segment * size : (segment + 1) * size] = np.frombuffer(own.as_buffer(), np.uint8)
     return LogBloom(bits, blocks)
 
 
@@ -323,7 +337,8 @@ def lm_scores(df: DataFrame, held_out: F.Column, id_col: str = "doc_id", text: s
     ends = docs.where("not held_out").count()
     known = vocabulary.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.count_if(F.col("trained") > 0)).first()
     total, distinct = known[0] + ends, known[1] + (ends > 0)
-    bloom = build_filter(bigram_blobs(docs).unionByName(unigram_blobs(vocabulary, ends)), 2 * total, max_bits)
+    number_bits = segment_bits_for(2 * total)
+    bloom = build_filter(bigram_blobs(docs, number_bits).unionByName(unigram_blobs(vocabulary, ends, number_bits)), 2 * total, max_bits)
     shared = spark.sparkContext.broadcast((bloom.bits, bloom.segment_blocks))
     common = vocabulary.where(F.length("word") <= HEAD_CHARS).orderBy(F.desc("n"), "word").limit(head)
     heads = spark.sparkContext.broadcast({bytes(r.word): r.trained for r in common.toLocalIterator()})
