@@ -28,6 +28,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -256,15 +257,16 @@ def bigram_blobs(docs: DataFrame, bits: int) -> DataFrame:
     """Counts of the training rows' pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, parts, size = Words(), [], 0
+        cache, hashes, parts, size = Words(), np.zeros(0, np.uint64), [], 0
         for b in _slices(batches):
             flat, counts = tokens(b.column("_t").to_pylist())
             at = _numbered(flat, cache)
-            h, before, _ = sequences(at, counts, np.array(cache.hashes, np.uint64))
+            hashes = np.append(hashes, np.array(cache.hashes[len(hashes):], np.uint64))
+            h, before, _ = sequences(at, counts, hashes)
             parts.append(np.unique(bigram(before, h), return_counts=True))
             size += len(parts[-1][0])
             if len(cache) > CACHE:
-                cache = Words()
+                cache, hashes = Words(), np.zeros(0, np.uint64)
             if size > GATHER:
                 parts = [_merged(parts)]
                 size = len(parts[0][0])
@@ -283,10 +285,16 @@ def unigram_blobs(words: DataFrame, ends: int, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
+        parts, size = [], 0
         for b in batches:
-            if b.num_rows:
-                h = np.fromiter((_END if w is None else xxh64_intdigest(w) for w in b.column("word").to_pylist()), np.uint64, b.num_rows)
-                yield _blobs(*_merged([(unigram(h), b.column("trained").to_numpy().astype(np.int64))]), bits)
+            h = np.fromiter((_END if w is None else xxh64_intdigest(w) for w in b.column("word").to_pylist()), np.uint64, b.num_rows)
+            parts.append((unigram(h), b.column("trained").to_numpy().astype(np.int64)))
+            size += b.num_rows
+            if size > GATHER:
+                yield _blobs(*_merged(parts), bits)
+                parts, size = [], 0
+        if size:
+            yield _blobs(*_merged(parts), bits)
 
     end = words.sparkSession.range(1).select(F.lit(None).cast("binary").alias("word"), F.lit(ends).cast("bigint").alias("trained"))
     return words.where("trained > 0").select("word", "trained").union(end.where("trained > 0")).mapInArrow(run, _BLOBS)
@@ -347,27 +355,33 @@ def lm_scores(df: DataFrame, held_out: F.Column, id_col: str = "doc_id", text: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
-        model, exact, cache = LogBloom(*shared.value), heads.value, Words()
-        of_word = np.zeros(0, np.int64)
+        def anew() -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+            return Words(), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
+
+        model, exact = LogBloom(*shared.value), heads.value
+        of_end = float(model.counts(unigram(np.array([_END])))[0])
+        cache, hashes, of_word, filtered = anew()  # by a word's place: its hash, its exact count or -1, the filter's count
         for b in _slices(batches):
             texts = b.column("_t").to_pylist()
             flat, counts = tokens(texts)
             if len(cache) > CACHE:
-                cache, of_word = Words(), np.zeros(0, np.int64)
+                cache, hashes, of_word, filtered = anew()
             at = _numbered(flat, cache)
-            if len(cache) > len(of_word):
-                new = list(cache)[len(of_word):]
-                of_word = np.concatenate([of_word, np.fromiter((exact.get(w, -1) for w in new), np.int64, len(new))])
-            h, before, begins = sequences(at, counts, np.array(cache.hashes, np.uint64))
-            own = model.counts(unigram(h))
-            context = own[np.arange(len(h)) - 1]
-            context[begins] = float(model.counts(unigram(np.array([_END])))[0])
+            if new := len(cache) - len(of_word):
+                of_word = np.append(of_word, np.fromiter((exact.get(w, -1) for w in islice(cache, len(of_word), None)), np.int64, new))
+                hashes = np.append(hashes, np.array(cache.hashes[len(hashes):], np.uint64))
+                filtered = np.append(filtered, model.counts(unigram(hashes[-new:])))
+            h, before, begins = sequences(at, counts, hashes)
+            is_word = np.ones(len(h), bool)
+            is_word[begins + counts] = False
+            own = np.full(len(h), of_end)
+            own[is_word] = filtered[at]
+            context = np.roll(own, 1)
+            context[begins] = of_end
             p = (own + 0.5) / norm
             pair = np.minimum(model.counts(bigram(before, h)), context)
             score = np.add.reduceat(np.log10(np.minimum((pair + MU * p) / (context + MU), 1.0)), begins)
             c = np.full(len(h), ends, np.int64)
-            is_word = np.ones(len(h), bool)
-            is_word[begins + counts] = False
             c[is_word] = of_word[at]
             in_head = c >= 0
             base = np.add.reduceat(np.where(in_head, np.log10((np.maximum(c, 0) + 0.5) / norm), 0.0), begins)
