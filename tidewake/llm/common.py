@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,5 +82,18 @@ def attach(left: DataFrame, right: DataFrame, key: str, salt: Column, total: int
     return out.select(*[F.col(c) for c in left.columns], *[both[c].alias(c) for c in right.columns if c not in (key, "n")])
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, bytes_at_once: int) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where a text begins after so many bytes of the column; a longer text is alone."""
+    import pyarrow.compute as pc
+
+    for b in batches:
+        sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        group = np.cumsum(sizes) // bytes_at_once
+        cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), b.num_rows]
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            if j > i:
+                yield b.slice(i, j - i)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

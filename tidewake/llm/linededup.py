@@ -26,9 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import attach, spread, stored
+from tidewake.llm.common import attach, slices, spread, stored
 
 LEAST_WORDS = 50
+BYTES_AT_ONCE = 4_000_000
 
 
 def windows(text: bytes, least_words: int) -> list[tuple[int, list[tuple[int, int, int]]]]:
@@ -69,17 +70,15 @@ def fingerprints(docs: DataFrame, least_words: int) -> DataFrame:
     shape = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("hash", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                fps, owners, lists = [], [], []
-                for k, t in enumerate(b.column("_t").to_pylist()):
-                    for fp, ws in windows(t or b"", least_words):
-                        fps.append(fp)
-                        owners.append(k)
-                        lists.append([{"start": s, "end": e, "hash": h} for s, e, h in ws])
-                owner = pa.array(np.array(owners, np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), b.column("_id").take(owner), b.column("_sum").take(owner), pa.array(lists, shape)], names=["fp", "_id", "_sum", "windows"])
+        for b in slices(batches, "_t", BYTES_AT_ONCE):
+            fps, owners, lists = [], [], []
+            for k, t in enumerate(b.column("_t").to_pylist()):
+                for fp, ws in windows(t or b"", least_words):
+                    fps.append(fp)
+                    owners.append(k)
+                    lists.append([{"start": s, "end": e, "hash": h} for s, e, h in ws])
+            owner = pa.array(np.array(owners, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), b.column("_id").take(owner), b.column("_sum").take(owner), pa.array(lists, shape)], names=["fp", "_id", "_sum", "windows"])
 
     return docs.select("_id", "_sum", "_t").mapInArrow(run, f"fp bigint, _id {kind}, _sum bigint, windows {_WINDOW}")
 
@@ -122,14 +121,12 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", least_
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", removed_lines bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                texts, removed = b.column(text).to_pylist(), [0] * b.num_rows
-                for i, r in enumerate(b.column("_ranges").to_pylist()):
-                    if r:
-                        texts[i], removed[i] = delete_lines(texts[i], [(x["start"], x["end"]) for x in r])
-                columns = [pa.array(texts, pa.string()) if n == text else b.column(n) for n in names]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], names=[*names, "removed_lines"])
+        for b in slices(batches, text, BYTES_AT_ONCE):
+            texts, removed = b.column(text).to_pylist(), [0] * b.num_rows
+            for i, r in enumerate(b.column("_ranges").to_pylist()):
+                if r:
+                    texts[i], removed[i] = delete_lines(texts[i], [(x["start"], x["end"]) for x in r])
+            columns = [pa.array(texts, pa.string()) if n == text else b.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.int64())], names=[*names, "removed_lines"])
 
     return joined.mapInArrow(run, schema)

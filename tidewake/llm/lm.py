@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import attach, spread, stored
+from tidewake.llm.common import attach, slices, spread, stored
 
 HEAD = 1 << 18
 HEAD_CHARS = 64
@@ -58,7 +58,7 @@ LEAST_SEGMENT_BITS, MOST_SEGMENT_BITS = 8, 16
 #: Words that a worker keeps by heart, and n-grams that it gathers, before it begins anew.
 CACHE = 300_000
 GATHER = 3_000_000
-DOCS_AT_ONCE = 1000
+BYTES_AT_ONCE = 4_000_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 _END = np.uint64(0x5851F42D4C957F2D)
 
@@ -220,12 +220,6 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return g[starts], np.add.reduceat(c, starts) if len(g) else c
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for at in range(0, b.num_rows, DOCS_AT_ONCE):
-            yield b.slice(at, DOCS_AT_ONCE)
-
-
 def _numbered(flat: list[bytes], cache: Words) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, flat), np.int64, len(flat))
 
@@ -240,7 +234,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         trained: Counter[bytes] = Counter()
         held: Counter[bytes] = Counter()
-        for b in _slices(batches):
+        for b in slices(batches, "_t", BYTES_AT_ONCE):
             for text, apart in zip(b.column("_t").to_pylist(), b.column("held_out").to_pylist(), strict=True):
                 (held if apart else trained).update((text or b"").lower().split())
             if len(trained) + len(held) > CACHE:
@@ -258,7 +252,7 @@ def bigram_blobs(docs: DataFrame, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, hashes, parts, size = Words(), np.zeros(0, np.uint64), [], 0
-        for b in _slices(batches):
+        for b in slices(batches, "_t", BYTES_AT_ONCE):
             flat, counts = tokens(b.column("_t").to_pylist())
             at = _numbered(flat, cache)
             hashes = np.append(hashes, np.array(cache.hashes[len(hashes):], np.uint64))
@@ -361,7 +355,7 @@ def lm_scores(df: DataFrame, held_out: F.Column, id_col: str = "doc_id", text: s
         model, exact = LogBloom(*shared.value), heads.value
         of_end = float(model.counts(unigram(np.array([_END])))[0])
         cache, hashes, of_word, filtered = anew()  # by a word's place: its hash, its exact count or -1, the filter's count
-        for b in _slices(batches):
+        for b in slices(batches, "_t", BYTES_AT_ONCE):
             texts = b.column("_t").to_pylist()
             flat, counts = tokens(texts)
             if len(cache) > CACHE:

@@ -29,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewake.llm.common import slices
+
 SPACE = 0x2581
 #: What the sign for a space is in the lattice if the text has it; no piece has this.
 LITERAL = 0x110000
 SEGMENT = re.compile(r" *[^ \n]+| +|\n+")
 #: Words longer than this have their sums worked out one by one.
 LONG = 48
-CHARS_AT_ONCE = 1_000_000
+BYTES_AT_ONCE = 1_000_000
 _P = np.uint64(0x100000001B3)
 _G = np.uint64(0x9E3779B97F4A7C15)
 
@@ -248,19 +250,6 @@ def encode_texts(texts: list[str | None], keys: list[object], model: Model, seed
     return ids, each
 
 
-def _batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of about CHARS_AT_ONCE."""
-    import pyarrow.compute as pc
-
-    for b in batches:
-        sizes = np.array([x or 0 for x in pc.binary_length(b.column(column)).to_pylist()], np.int64) if b.num_rows else np.zeros(0, np.int64)
-        group = np.cumsum(sizes) // CHARS_AT_ONCE
-        cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), b.num_rows]
-        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-            if j > i:
-                yield b.slice(i, j - i)
-
-
 def _list(ids: np.ndarray, each: np.ndarray, null: np.ndarray) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum(each)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends, mask=np.append(null, False)), pa.array(ids.astype(np.int32)))
@@ -289,7 +278,7 @@ def encode(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in _batches(batches, text):
+        for b in slices(batches, text, BYTES_AT_ONCE):
             texts = b.column(text).to_pylist()
             ids, each = encode_texts(texts, b.column(key).to_pylist(), m, seed)
             null = np.array([t is None for t in texts], bool)
@@ -325,7 +314,7 @@ def encode_and_verify(df: DataFrame, model: Model, key: str = "doc_id", text: st
 
         m = shared.value
         table = pa.array(m.bytes_of, pa.binary())
-        for b in _batches(batches, text):
+        for b in slices(batches, text, BYTES_AT_ONCE):
             texts = b.column(text).to_pylist()
             ids, each = encode_texts(texts, b.column(key).to_pylist(), m, seed)
             null = np.array([t is None for t in texts], bool)
