@@ -57,8 +57,8 @@ TASK_GRAMS = 1 << 21
 LEAST_SEGMENT_BITS, MOST_SEGMENT_BITS = 8, 16
 #: Words that a worker keeps by heart, and n-grams that it gathers, before it begins anew.
 CACHE = 300_000
-GATHER = 3_000_000
-BYTES_AT_ONCE = 4_000_000
+GATHER = 2_000_000
+BYTES_AT_ONCE = 1_500_000
 _M = np.uint64(0x9E3779B97F4A7C15)
 _END = np.uint64(0x5851F42D4C957F2D)
 
