@@ -151,6 +151,42 @@ def test_schedules_fill_every_slot():
         assert sorted(slots) == list(range(sum(blocks)))
 
 
+def test_exact_weights_stay_within_a_block():
+    """In each phase, against the given weights: the query's with an unlisted source, a small one, and awkward decimals."""
+    of = queries.WEIGHTS
+    for weights, blocks in (([*of.values(), 0.01], [50, *[400] * 19, 30]), ([*of.values()], [900, *[400] * 19]), ([0.001, 0.999], [30, 5000]), ([0.1234567, 0.7654321, 1 / 3], [500, 700, 900])):
+        rows = mixing.schedule(blocks, weights)
+        slots = {}
+        for r in rows:
+            for k in range(r["to_block"] - r["from_block"]):
+                slots[r["start"] + k // r["share"] * r["round"] + r["slots"][k % r["share"]]] = (r["phase"], r["source"])
+        assert sorted(slots) == list(range(sum(blocks)))
+        left = list(blocks)
+        for phase in range(max(r["phase"] for r in rows) + 1):
+            turn = [s for _, (p, s) in sorted(slots.items()) if p == phase]
+            live = [i for i, n in enumerate(left) if n]
+            total, done = sum(weights[i] for i in live), Counter()
+            for t, s in enumerate(turn):
+                done[s] += 1
+                assert all(abs(done[i] - (t + 1) * weights[i] / total) < 1 + 1e-9 for i in live)
+            left = [n - done[i] for i, n in enumerate(left)]
+
+
+@pytest.mark.parametrize("long", [0, 3, 256])
+def test_mixing_takes_weights_as_given(spark, monkeypatch, long):
+    monkeypatch.setattr(mixing, "LONG", long)
+    weights = {"a": 0.101, "b": 0.8989}
+    rows = [(i, "t", "en", "a" if i % 9 == 0 else "b", 1) for i in range(3000)]
+    out = mixing.mix_sources(docs(spark, rows), weights, other_weight=0.0001, block_rows=4).collect()
+    places = {(r.slot, r.place) for r in out}
+    assert len(places) == len(rows) == len(out) and max(s for s, _ in places) == len({s for s, _ in places}) - 1
+    turn = sorted({(r.slot, r.source) for r in out if r.phase == 0})
+    done = Counter()
+    for t, (_, source) in enumerate(turn):
+        done[source] += 1
+        assert all(abs(done[s] - (t + 1) * w / 0.9999) < 1 for s, w in weights.items())
+
+
 # Quality
 
 

@@ -1,17 +1,18 @@
 """Mixing sources to target weights, by Pfair scheduling of blocks.
 
-A source's rows, in the order of a seeded hash, are cut into blocks. With n shares
-out of `resolution`, its k-th block (from 0) may not run before slot
-floor(k * resolution / n) and must have run by ceil((k + 1) * resolution / n). In each
-slot the released block with the earliest deadline runs (of ties, the source listed
-first). After any number of slots each source then is less than one block from its
-target. The schedule repeats every `resolution` slots, so only one round of it is
-worked out, from the weights and the sources' counts alone (a table bounded by their
-number); rows find their slots in it by a projection.
+A source's rows, in the order of a seeded hash, are cut into blocks. With w, the
+source's weight over the sum of the weights, its k-th block (from 0) may not run before
+slot floor(k / w) and must have run by ceil((k + 1) / w). In each slot the released block
+with the earliest deadline runs (of ties, the source listed first). After any number of
+slots of a phase each source then is less than one block from its target. Weights are
+taken exactly, as they are written in decimals. The schedule repeats after as many slots
+as their common denominator, so no more than one round of it is worked out, from the
+weights and the sources' counts alone; rows find their slots in it by a projection. Of
+sources with more than LONG slots in a round each block is listed, LIST_BLOCKS to a row.
 
 When a source has no blocks left, a new phase begins with the weights of those that
-have; so all rows are placed. Weights become shares of the resolution by largest
-remainders, each at least one. Sources without a weight, and null, share
+have; so all rows are placed. Only if a resolution is given, weights become shares of it by
+largest remainders, each at least one. Sources without a weight, and null, share
 other_weight as one source, named null. Ties in the hash go by id; rows with one id and
 source may take each other's places. An empty table stays empty. Added columns (slot,
 place, phase) replace any of the same name.
@@ -19,7 +20,9 @@ place, phase) replace any of the same name.
 
 from __future__ import annotations
 
+import heapq
 import json
+import math
 from fractions import Fraction
 
 from pyspark.sql import DataFrame
@@ -27,7 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 BLOCK_ROWS = 64
-RESOLUTION = 100
+#: Slots of a source in a round, up to which the round is kept and not its blocks' list; blocks to a row of the list.
+LONG = 256
+LIST_BLOCKS = 64
 #: All sources' rows to one of the parts in which each is ranked, and the fewest parts.
 PART_ROWS = 10_000
 LEAST_PARTS = 64
@@ -51,30 +56,50 @@ def shares(weights: list[float], resolution: int) -> list[int]:
     return out
 
 
-def one_round(parts: list[int]) -> list[int]:
-    """Which source runs in each slot of a round: earliest deadline first among the released blocks."""
+def exact_shares(weights: list[float]) -> list[int]:
+    """The least whole numbers in exact proportion to the weights as written in decimals."""
+    exact = [Fraction(str(w)) for w in weights]
+    whole = [int(w * math.lcm(*(x.denominator for x in exact))) for w in exact]
+    return [n // math.gcd(*whole) for n in whole]
+
+
+def one_round(parts: list[int], left: list[int] | None = None) -> list[int]:
+    """Which source runs in each slot of a round: earliest deadline first among the released blocks. Ends early when a source has run what it has left."""
     slots = sum(parts)
     done, out = [0] * len(parts), []
+    waiting, ready = [(0, i) for i in range(len(parts))], []
     for t in range(slots):
-        ready = [i for i, n in enumerate(parts) if done[i] < n and done[i] * slots // n <= t]
-        i = min(ready, key=lambda i: (-(-(done[i] + 1) * slots // parts[i]), i))
+        while waiting and waiting[0][0] <= t:
+            i = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (-(-(done[i] + 1) * slots // parts[i]), i))
+        i = heapq.heappop(ready)[1]
         done[i] += 1
         out.append(i)
+        if left and done[i] == left[i]:
+            break
+        if done[i] < parts[i]:
+            heapq.heappush(waiting, (done[i] * slots // parts[i], i))
     return out
 
 
-def schedule(blocks: list[int], weights: list[float], resolution: int) -> list[dict]:
+def schedule(blocks: list[int], weights: list[float], resolution: int | None = None) -> list[dict]:
     """Rows (source, phase, from_block, to_block, start, share, slots): which blocks of a source run in a phase, and where in a round its blocks come."""
     left, begun, start, rows, phase = list(blocks), [0] * len(blocks), 0, [], 0
     while live := [i for i, n in enumerate(left) if n]:
-        parts = shares([weights[i] for i in live], max(resolution, len(live)))
-        turn = one_round(parts)
-        own = [[t for t, k in enumerate(turn) if k == j] for j in range(len(live))]
-        length = min((left[i] - 1) // parts[j] * len(turn) + own[j][(left[i] - 1) % parts[j]] + 1 for j, i in enumerate(live))
+        own_weights = [weights[i] for i in live]
+        parts = exact_shares(own_weights) if resolution is None else shares(own_weights, max(resolution, len(live)))
+        turn = one_round(parts, [left[i] for i in live])
+        own: list[list[int]] = [[] for _ in live]
+        for t, j in enumerate(turn):
+            own[j].append(t)
+        if any(len(own[j]) == left[i] for j, i in enumerate(live)):
+            length = len(turn)  # ends in the first round
+        else:
+            length = min((left[i] - 1) // parts[j] * len(turn) + own[j][(left[i] - 1) % parts[j]] + 1 for j, i in enumerate(live))
         for j, i in enumerate(live):
-            ran = length // len(turn) * parts[j] + sum(t < length % len(turn) for t in own[j])
+            ran = length // len(turn) * len(own[j]) + sum(t < length % len(turn) for t in own[j])
             if ran:
-                rows.append({"source": i, "phase": phase, "from_block": begun[i], "to_block": begun[i] + ran, "start": start, "share": parts[j], "slots": own[j], "round": len(turn)})
+                rows.append({"source": i, "phase": phase, "from_block": begun[i], "to_block": begun[i] + ran, "start": start, "share": len(own[j]), "slots": own[j], "round": len(turn)})
             begun[i] += ran
             left[i] -= ran
         start += length
@@ -82,7 +107,21 @@ def schedule(blocks: list[int], weights: list[float], resolution: int) -> list[d
     return rows
 
 
-def mix_sources(df: DataFrame, weights: dict[str, float], id_col: str = "doc_id", source: str = "source", other_weight: float = 0.01, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION, seed: int = 0) -> DataFrame:
+def listed(rows: list[dict]) -> list[dict]:
+    """Rows (source, part, phase, from_block, slots) of the schedule's rows: the slots of the blocks from from_block on in part from_block // LIST_BLOCKS."""
+    out = []
+    for r in rows:
+        at = r["from_block"]
+        while at < r["to_block"]:
+            end = min((at // LIST_BLOCKS + 1) * LIST_BLOCKS, r["to_block"])
+            ks = range(at - r["from_block"], end - r["from_block"])
+            slots = [r["start"] + k // r["share"] * r["round"] + r["slots"][k % r["share"]] for k in ks]
+            out.append({"source": r["source"], "part": at // LIST_BLOCKS, "phase": r["phase"], "from_block": at, "to_block": end, "slots": slots})
+            at = end
+    return out
+
+
+def mix_sources(df: DataFrame, weights: dict[str, float], id_col: str = "doc_id", source: str = "source", other_weight: float = 0.01, block_rows: int = BLOCK_ROWS, resolution: int | None = None, seed: int = 0) -> DataFrame:
     """df with slot, place (within the slot's block) and phase; rows in the order of (slot, place) are the mixture."""
     df = df.drop("slot", "place", "phase")
     names = list(weights)
@@ -105,14 +144,22 @@ def mix_sources(df: DataFrame, weights: dict[str, float], id_col: str = "doc_id"
     rows = rows.withColumn("_rank", F.row_number().over(by) - 1)
     rows = rows.join(sizes, (F.col("_source") == F.col("_s")) & (F.col("_part") == F.col("_p"))).withColumn("_rank", F.col("_rank") + F.col("_before"))
 
-    shape = "array<struct<source:int,phase:int,from_block:bigint,to_block:bigint,start:bigint,share:int,slots:array<int>,round:int>>"
     spark = df.sparkSession
-    plan = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(table)), shape)))
-    block = F.floor(F.col("_rank") / block_rows).cast("long")
-    rows = rows.withColumn("_block", block).join(F.broadcast(plan.withColumnRenamed("source", "_of").withColumnRenamed("phase", "_phase")), (F.col("_source") == F.col("_of")) & (F.col("_block") >= F.col("from_block")) & (F.col("_block") < F.col("to_block")))
-    k = F.col("_block") - F.col("from_block")
-    slot = F.col("start") + F.floor(k / F.col("share")).cast("long") * F.col("round") + F.get("slots", (k % F.col("share")).cast("int"))
-    return rows.select(*df.columns, slot.alias("slot"), (F.col("_rank") % block_rows).cast("int").alias("place"), F.col("_phase").alias("phase"))
+    plan = lambda rows, shape: spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{shape}>>")))
+    rounds = plan([r for r in table if len(r["slots"]) <= LONG], "source:int,phase:int,from_block:bigint,to_block:bigint,start:bigint,share:int,slots:array<int>,round:int")
+    lists = listed([r for r in table if len(r["slots"]) > LONG])
+    rows = rows.withColumn("_block", F.floor(F.col("_rank") / block_rows).cast("long"))
+    inside = (F.col("_block") >= F.col("r.from_block")) & (F.col("_block") < F.col("r.to_block"))
+    rows = rows.join(F.broadcast(rounds.select(F.col("source").alias("_of"), F.struct("*").alias("r"))), (F.col("_source") == F.col("_of")) & inside, "left")
+    k = F.col("_block") - F.col("r.from_block")
+    slot, phase = F.col("r.start") + F.floor(k / F.col("r.share")).cast("long") * F.col("r.round") + F.get("r.slots", (k % F.col("r.share")).cast("int")), F.col("r.phase")
+    if lists:
+        lists = plan(lists, "source:int,part:bigint,phase:int,from_block:bigint,to_block:bigint,slots:array<bigint>")
+        inside = (F.col("_block") >= F.col("l.from_block")) & (F.col("_block") < F.col("l.to_block"))
+        same = (F.col("_source") == F.col("_in")) & (F.floor(F.col("_block") / LIST_BLOCKS).cast("long") == F.col("_at"))
+        rows = rows.join(F.broadcast(lists.select(F.col("source").alias("_in"), F.col("part").alias("_at"), F.struct("*").alias("l"))), same & inside, "left")
+        slot, phase = F.coalesce(slot, F.get("l.slots", (F.col("_block") - F.col("l.from_block")).cast("int"))), F.coalesce(phase, "l.phase")
+    return rows.select(*df.columns, slot.alias("slot"), (F.col("_rank") % block_rows).cast("int").alias("place"), phase.alias("phase"))
 
 
 def in_order(mixed: DataFrame, partitions: int) -> DataFrame:
