@@ -2,14 +2,17 @@
 
 Quality rules drop documents; line dedup rewrites texts (n_chars with them); of each
 SimHash group one document stays; mixing lays the rows out in the order of the mixture; the last
-stage adds pieces. Stages need doc_id, text, lang, source and n_chars, whose nulls, ties and
+stage adds pieces and position, a row's number (from 0) in that order. Position comes from where
+a row lies in the files that are read back; it is null for rows that come from no file. Stages need doc_id, text, lang, source and n_chars, whose nulls, ties and
 repeats are treated as the operators' docstrings say.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewake.llm import linededup, mixing, pieces, quality, simhash
 from tidewake.llm.common import stored, table
@@ -36,8 +39,22 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_order(mixed, int(spark.conf.get("spark.sql.shuffle.partitions"))).select(*COLUMNS)
 
 
+def positions(docs: DataFrame) -> DataFrame:
+    """docs with position: a row's number over all its files, read one after the other by name."""
+    docs = docs.drop("position")
+    try:
+        rows = docs.select(*docs.columns, F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        rows.schema  # noqa: B018 - analyses the columns
+    except AnalysisException:
+        return docs.withColumn("position", F.lit(None).cast("bigint"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("_name").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    files = rows.groupBy(F.col("_file").alias("_name")).agg(F.count("*").alias("n")).select("_name", before.alias("_before"))
+    rows = rows.join(F.broadcast(files), F.col("_file") == F.col("_name"))
+    return rows.select(*docs.columns, (F.col("_before") + F.col("_row")).alias("position"))
+
+
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode_and_verify(docs, pieces.load_model(PIECES_MODEL))
+    return pieces.encode_and_verify(positions(docs), pieces.load_model(PIECES_MODEL))
 
 
 STAGES = [("quality", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mixing", mix), ("sentencepiece", sentencepiece)]

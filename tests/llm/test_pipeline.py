@@ -6,7 +6,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewake.llm import linededup, pieces, queries, simhash
+from tidewake.llm import linededup, mixing, pieces, queries, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -60,3 +60,24 @@ def test_long_texts_are_cut_out_alone(spark):
     assert got == {1: (long, 0), 2: ("short", 0), 3: ("own tail", 6000), 4: (None, 0), 5: ("", 0)}
     back = pieces.encode_and_verify(df, pieces.load_model(queries.PIECES_MODEL)).where(F.col("text").isNotNull()).collect()
     assert len(back) == 4 and all(r.lossless for r in back)
+
+
+def test_rows_follow_the_schedule(spark, tmp_path):
+    """Files of several sizes, which Spark does not read in the order of their names."""
+    rows = [(i if i % 50 else None, "x " * (i % 7) * (1 + 300 * (i % 11 == 0)), "en", f"src{i % 4}" if i % 5 else None, 1) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumn("n_chars", F.monotonically_increasing_id()).localCheckpoint()
+    corpus_pipeline.mix(spark, docs, SF).write.parquet(str(tmp_path / "mixed"))
+    back = spark.read.parquet(str(tmp_path / "mixed"))
+    assert back.select("_metadata.file_name").distinct().count() > 1
+    out = sorted(corpus_pipeline.STAGES[-1][1](spark, back, SF).collect(), key=lambda r: r.position)
+    assert [r.position for r in out] == list(range(len(rows)))
+    want = sorted(mixing.mix_sources(docs, queries.WEIGHTS).collect(), key=lambda r: (r.slot, r.place))
+    name = lambda r: r.source if r.source in queries.WEIGHTS else None
+    assert [name(r) for r in out] == [name(r) for r in want]
+    # Rows with one id and source may take each other's places.
+    assert [r.doc_id for r in out] == [r.doc_id for r in want]
+
+
+def test_run_numbers_all_rows(spark):
+    rows = corpus_pipeline.run(spark, SF).select("position").collect()
+    assert sorted(r.position for r in rows) == list(range(len(rows)))
