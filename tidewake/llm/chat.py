@@ -1,19 +1,23 @@
 """Chat formatting: quotations are linked to the messages that they quote.
 
 A line that begins with > signs (blanks between them allowed) is a quotation; their
-number is its level. Each quoted line is a passage, normalised (ASCII lower case, white space
-collapsed) and hashed. Its original is the first message of the same conversation whose
-own, unquoted lines hold it, if that is an earlier turn. A message replies to the original
-of most characters of its level-1 passages (of ties, the latest); deeper levels are older
-text that the parent quoted itself. root_turn and depth follow the replies up, by pointer
-jumping, and rows in the order of (conv_id, root_turn, depth, turn) are the conversation in
-reply order: each message comes after the one that it answers. text loses its quoted lines.
-
-All is joined on (conv_id, hash) or (conv_id, turn), so that a long conversation is dealt
-out, and nothing is paired within a group: originals are first reduced to one for each
-passage. Null texts stay null and quote nothing; rows with a null conv_id or turn neither quote
-nor are quoted. Rows that repeat a (conv_id, turn) get the same link. Other columns pass
-through; added ones (parent_turn, root_turn, depth) replace any of the same name.
+number is its level, 0 for a message's own lines. Lines of one level that follow each other are a block, and a blank line ends
+it. A block is reflowed into one line, so that it doesn't matter where a mailer broke it, and cut into
+sentences. Each sentence is a passage, normalised (ASCII lower case, white space collapsed) and
+hashed. Its original is the first message of the same conversation that has it at level 0, if that is an earlier turn.
+
+A message replies to the original of most characters of its passages at the lowest level that has any
+(of ties, the latest). That is level 1 unless the direct parent is missing or was not found; deeper levels are
+older text that the parent quoted itself, and then link the message to the nearest ancestor known. parent_level is the level of the link.
+root_turn and depth follow the replies up, by pointer jumping, and rows in the order of (conv_id, root_turn, depth, turn)
+are the conversations in reply order: each message comes after the one that it answers. text loses its quoted lines.
+
+Keys that many rows may share (a passage, a message that everyone answers, a null conv_id) are dealt out by
+attach(), and nothing is paired within a group: originals are first reduced to one for each passage. A message is
+held by one task, however long. Null texts stay null and quote nothing, empty ones likewise; rows with a null
+conv_id or turn neither quote nor are quoted. Rows that repeat a (conv_id, turn) get the same link. An
+empty table stays empty. Other columns pass through, whatever their names; added ones (parent_turn, parent_level, root_turn,
+depth) replace any of the same name.
 """
 
 from __future__ import annotations
@@ -21,25 +25,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import ascii_lower, attach, spread, stored
+from tidewake.llm.common import ROW, ascii_lower, attach, discard, packed, spread, stored, unpacked
 
 QUOTED = r"^[ \t]*>[> \t]*"
+WHITE_LINE = r"\n[\x20\x09-\x0D]*\n"
+SENTENCE_END = r"(?<=[.!?])[\x20\x09-\x0D]+"
 
 
 def level(line: Column) -> Column:
     return F.length(F.regexp_replace(F.regexp_extract(line, QUOTED, 0), r"[^>]", ""))
 
 
-def normal(line: Column) -> Column:
-    """A line without quotation signs, in lower case, white space collapsed."""
-    return F.trim(F.regexp_replace(ascii_lower(F.regexp_replace(line, QUOTED, "")), r"[\x20\x09-\x0D]+", " "))
+def passages_at(lines: Column, depth: Column) -> Column:
+    """The sentences of the blocks of one level, with their level; other lines end a block."""
+    own = F.transform(lines, lambda x: F.when(level(x) == depth, F.regexp_replace(x, QUOTED, "")).otherwise(F.lit("")))
+    blocks = F.split(F.array_join(own, "\n"), WHITE_LINE)
+    sentences = F.flatten(F.transform(blocks, lambda b: F.split(b, SENTENCE_END)))
+    normal = F.transform(sentences, lambda x: F.trim(F.regexp_replace(ascii_lower(x), r"[\x20\x09-\x0D]+", " ")))
+    return F.transform(F.filter(normal, lambda x: x != ""), lambda x: F.struct(depth.alias("level"), x.alias("passage")))
 
 
 def passages(df: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, hash, size) of the lines that aren't blank."""
-    lines = df.where("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("conv_id", "turn", level(F.col("line")).alias("level"), normal(F.col("line")).alias("passage")).where("passage <> ''")
-    return lines.select("conv_id", "turn", "level", F.sha2(F.concat(F.col("conv_id").cast("string"), F.lit("\n"), "passage"), 256).alias("hash"), F.length("passage").alias("size"))
+    """(conv_id, turn, level, hash, size) of the passages of df (conv_id, turn, text)."""
+    lines = df.where("conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL").select("conv_id", "turn", F.split("text", "\n").alias("lines"))
+    deepest = F.array_max(F.transform("lines", level))
+    found = lines.select("conv_id", "turn", F.inline(F.flatten(F.transform(F.sequence(F.lit(0), deepest), lambda d: passages_at(F.col("lines"), d)))))
+    return found.select("conv_id", "turn", "level", F.sha2(F.concat(F.col("conv_id").cast("string"), F.lit("\n"), "passage"), 256).alias("hash"), F.length("passage").alias("size"))
 
 
 def quotations(df: DataFrame) -> DataFrame:
@@ -54,29 +65,55 @@ def quotations(df: DataFrame) -> DataFrame:
 
 
 def replies(df: DataFrame) -> DataFrame:
-    """(conv_id, turn, parent_turn, root_turn, depth) of the messages that answer another."""
-    votes = quotations(df).where("level = 1").groupBy("conv_id", "turn", "origin").agg(F.sum("size").alias("size"))
-    parents = votes.groupBy("conv_id", "turn").agg(F.max(F.struct("size", "origin"))["origin"].alias("parent_turn"))
+    """(conv_id, turn, parent_turn, parent_level, root_turn, depth) of the messages that answer another. df: conv_id, turn, text."""
+    votes = quotations(df).groupBy("conv_id", "turn", "level", "origin").agg(F.sum("size").alias("size"))
+    best = F.max(F.struct((-F.col("level")).alias("less"), "size", "origin"))
+    parents = votes.groupBy("conv_id", "turn").agg(best.alias("b")).select("conv_id", "turn", F.col("b.origin").alias("parent_turn"), (-F.col("b.less")).alias("parent_level"))
     jumps = stored(parents.withColumns({"up": F.col("parent_turn"), "depth": F.lit(1).cast("long")}), "replies")
+    place = lambda turn: F.struct(F.col("conv_id"), F.col(turn).alias("turn"))
     while True:
-        above = jumps.select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"), F.col("up").alias("_up"), F.col("depth").alias("_depth"))
-        joined = jumps.join(above, (F.col("conv_id") == F.col("_c")) & (F.col("up") == F.col("_t")), "left")
-        moved = F.col("_t").isNotNull()
-        jumps = stored(joined.select("conv_id", "turn", "parent_turn", F.coalesce("_up", "up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"), moved.alias("moved")), "replies")
-        more = not jumps.where("moved").isEmpty()
-        jumps = jumps.drop("moved")
-        if not more:
-            return jumps.withColumnRenamed("up", "root_turn")
+        total = jumps.count()
+        rows = jumps.withColumn("at", place("up"))
+        asked = rows.groupBy("at").agg(F.count("*").alias("n"))
+        above = jumps.select(place("turn").alias("at"), F.col("up").alias("next"), F.col("depth").alias("more")).join(asked, "at")
+        joined = attach(rows, above, "at", spread(F.col("conv_id"), F.col("turn")), total)
+        moved = F.col("next").isNotNull()
+        old, jumps = jumps, stored(joined.select("conv_id", "turn", "parent_turn", "parent_level", F.coalesce("next", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), moved.alias("moved")), "replies")
+        discard(old)
+        if jumps.where("moved").isEmpty():
+            return jumps.drop("moved").withColumnRenamed("up", "root_turn")
 
 
 def without_quotes(text: Column) -> Column:
     return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~x.rlike(QUOTED)), "\n")
 
 
-def reply_order(df: DataFrame) -> DataFrame:
-    """df (conv_id, turn, text and others) with parent_turn, root_turn, depth, and texts without quotations."""
-    df = df.drop("parent_turn", "root_turn", "depth")
-    found = replies(df).select(F.col("conv_id").alias("_conv"), F.col("turn").alias("_turn"), "parent_turn", "root_turn", "depth")
-    out = df.join(found, (df["conv_id"] == F.col("_conv")) & (df["turn"] == F.col("_turn")), "left")
-    rest = [without_quotes(F.col("text")).alias("text") if c == "text" else df[c] for c in df.columns]
-    return out.select(*rest, "parent_turn", F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("depth", F.lit(0).cast("long")).alias("depth"))
+def reply_order(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
+    """df with parent_turn, parent_level, root_turn, depth, and texts without quotations."""
+    plain = df.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(text).alias("text"))
+    key = F.when(F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), F.struct("conv_id", "turn"))
+    rows = packed(df, F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(text).alias("text")).withColumn("key", key)
+    found = replies(plain)
+    many = rows.where("key IS NOT NULL").groupBy("key").agg(F.count("*").alias("n"))
+    links = found.select(F.struct("conv_id", "turn").alias("key"), "parent_turn", "parent_level", "root_turn", "depth").join(many, "key")
+    out = attach(rows, links, "key", spread(F.col("text"), F.spark_partition_id()), df.count())
+    added = ("parent_turn", "parent_level", "root_turn", "depth")
+    rest = [without_quotes(F.col("text")).alias(c) if c == text else F.col(ROW)[c].alias(c) for c in df.columns if c.lower() not in added]
+    return out.select(*rest, "parent_turn", "parent_level", F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("depth", F.lit(0).cast("long")).alias("depth"))
+
+
+def quoting(df: DataFrame, width: int = 24) -> DataFrame:
+    """df (conv_id, turn, text and others) with quotations by a rule, for tables that have none.
+
+    Of each three messages one quotes the turn before it and, at level 2 above that, the one before that; one quotes its
+    conversation's turn 0; one quotes nothing. Quoted texts are broken into lines of a width of their own.
+    """
+    broken = lambda t, sign: F.concat(F.lit(sign), F.regexp_replace(F.regexp_replace(t, r"[\x20\x09-\x0D]+", " "), rf"(.{{{width},}}?) ", f"$1\n{sign}"))
+    said = df.groupBy("conv_id", "turn").agg(F.min("text").alias("said"))
+    rule = F.pmod(F.col("conv_id") + F.col("turn"), F.lit(3))
+    out = df.withColumns({"one": F.when(rule == 0, F.col("turn") - 1).when((rule == 1) & (F.col("turn") > 0), 0), "two": F.when(rule == 0, F.col("turn") - 2)})
+    for name in ("one", "two"):
+        side = said.select(F.col("conv_id").alias(f"{name}_conv"), F.col("turn").alias(f"{name}_turn"), F.col("said").alias(f"{name}_said"))
+        out = out.join(side, (F.col("conv_id") == F.col(f"{name}_conv")) & (F.col(name) == F.col(f"{name}_turn")), "left")
+    quote = F.concat_ws("\n", broken(F.col("two_said"), "> > "), broken(F.col("one_said"), "> "), F.col("text"))
+    return out.select(*[F.when(F.col("text").isNotNull(), quote).alias("text") if c == "text" else F.col(c) for c in df.columns])

@@ -16,7 +16,7 @@ WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A key with more than one in so many rows is hot; so there are fewer hot keys than this.
-HOT_PARTS = 1000
+HOT_PARTS = 100_000
 #: Keys with fewer rows are never hot; of others a smaller table has at most HOT_PARTS, too.
 LEAST_HOT = 100
 
@@ -40,11 +40,44 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read back: cuts the lineage and outlives lost executors."""
+def _folder(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def stored(df: DataFrame, name: str, **options: object) -> DataFrame:
+    """df, written to the shared folder and read back: cuts the lineage and outlives lost executors.
+
+    The folder goes when the driver ends, or earlier by discard().
+    """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path)
+    store, place = _folder(df.sparkSession, path)
+    store.deleteOnExit(place)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the folder of a DataFrame that stored() made. Nothing that reads it may be computed afterwards."""
+    store, place = _folder(df.sparkSession, df._stored_at)
+    store.delete(place, True)
+
+
+#: The one column of packed().
+ROW = "_row"
+
+
+def packed(df: DataFrame, *more: Column) -> DataFrame:
+    """df's columns as one struct, ROW, and more columns beside it, whose names so can't clash with df's."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW), *more)
+
+
+def unpacked(*without: str, columns: list[str]) -> list[Column]:
+    """The columns of ROW but for some, whatever their case."""
+    gone = {c.lower() for c in without}
+    return [F.col(ROW)[c].alias(c) for c in columns if c.lower() not in gone]
 
 
 def ascii_lower(column: Column) -> Column:
@@ -69,17 +102,32 @@ def attach(left: DataFrame, right: DataFrame, key: str, salt: Column, total: int
     with that key; total is the number of left's rows. Keys with more than a
     HOT_PARTS-th of the rows are fewer than HOT_PARTS and so can be broadcast;
     all others have few rows each and are joined by a shuffle, in which the
-    rows with a hot key, or none, are dealt out by salt.
+    rows with a hot key, or none, are dealt out by salt. Where so many rows are
+    too many for a task, the join is one that adaptive execution splits.
     """
     bound = max(total // HOT_PARTS, LEAST_HOT)
-    values = F.struct(*[c for c in right.columns if c not in (key, "n")])
-    hot = right.where(F.col("n") > bound).select(F.col(key).alias("_hot_key"), values.alias("_hot"))
-    cold = right.where(F.col("n") <= bound).select(F.col(key).alias("_cold_key"), (F.col("n") % 1).alias("_zero"), values.alias("_cold"))  # not a literal, or the join would be dealt out by the key alone
-    mixed = left.join(F.broadcast(hot), left[key] == F.col("_hot_key"), "left")
-    mixed = mixed.withColumn("_salt", F.when(F.col("_hot_key").isNotNull() | F.col(key).isNull(), salt).otherwise(F.lit(0).cast("long")))
-    out = mixed.join(cold, (F.col(key) == F.col("_cold_key")) & (F.col("_salt") == F.col("_zero")), "left")
-    both = F.coalesce("_hot", "_cold")
-    return out.select(*[F.col(c) for c in left.columns], *[both[c].alias(c) for c in right.columns if c not in (key, "n")])
+    added = [c for c in right.columns if c not in (key, "n")]
+    values = F.struct(*added)
+    hot = right.where(F.col("n") > bound).select(F.col(key).alias("hot_key"), values.alias("hot"))
+    cold = right.where(F.col("n") <= bound).select(F.col(key).alias("cold_key"), (F.col("n") % 1).alias("zero"), values.alias("cold"))  # not a literal, or the join would be dealt out by the key alone
+    rows = packed(left, F.col(key).alias("key"), salt.alias("dealt"))
+    rows = rows.join(F.broadcast(hot), F.col("key") == F.col("hot_key"), "left")
+    rows = rows.withColumn("salt", F.when(F.col("hot_key").isNotNull() | F.col("key").isNull(), F.col("dealt")).otherwise(F.lit(0).cast("long")))
+    out = rows.join(cold, (F.col("key") == F.col("cold_key")) & (F.col("salt") == F.col("zero")), "left")
+    both = F.coalesce("hot", "cold")
+    return out.select(*unpacked(columns=left.columns), *[both[c].alias(c) for c in added])
+
+
+def key_of(id_col: Column, text: Column) -> Column:
+    """A document's place in the order of ids (null last) and, of rows that share one, of texts."""
+    return F.struct(id_col.isNull().alias("none"), id_col.alias("id"), F.xxhash64(text).alias("sum"))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, bytes_at_once: int) -> Iterator[pa.RecordBatch]:

@@ -3,65 +3,66 @@
 Training counts every word and every pair of neighbouring words (a text's end is
 a token, and stands before its first word too). A count c is stored as its level
 on a logarithmic scale: the n-gram is put into the filter once for each level from
-1 to its own. To read it, levels are probed until one is missing. The filter is
-blocked: all bits of an entry lie in one block of 512 bits, so a segment of the
-filter (there are more of them, the more n-grams there are) is made by one task from the n-grams whose hashes lead there, and only the
-finished bits reach the driver. Their size is bounded by max_bits, whatever the
-corpus. A segment in which the entries would be too dense raises the least level
-that it stores (LEAST_BITS), a count cut-off that depends on the load alone.
+1 to its own, each level a membership test. To read it, levels are probed until one is missing.
 
 P(w | v) = (c(v, w) + MU * P(w)) / (c(v) + MU), P(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)),
 with c(v, w), c(v) and c(w) from the filter, c(v, w) at most c(v).
 
-The base score needs exact counts. The HEAD commonest words, each of at most
-HEAD_CHARS bytes, are broadcast with them; other words of a text are joined to the
-counts by a shuffle. None of those is in more than a HEAD-th of all tokens.
-
-A null text has no words, only its end; with no training rows every count is 0.
-Rows equal in id and text get equal results. Rows with a null id count as held in
-(crc32 of null is null, so not 1). Other columns are not needed.
+A filter that keeps every n-gram grows with the corpus, so it has no bound that would
+let it be broadcast. It is cut into segments by the n-grams' hashes, the more of them
+the more n-grams there are, and probes are sent to their segment instead:
+
+1. Texts are cut into groups of GROUP_BYTES. A group is written as one row: the hashes of
+   its distinct words and each text's words as numbers into them.
+2. From that row the group's distinct n-grams go to their segments, with their counts in
+   training rows. A segment's task sums the counts, makes its filter, as large as its
+   entries need (ENTRY_BITS each, so no level of no count is left out), and answers each group's
+   n-grams from it. It also answers the exact counts of words, told apart by 96 bits of hash.
+3. A group's row meets its answers and is scored.
+
+So a word or pair goes over the network once for each group that has it, however common it
+is; nothing that grows with the corpus reaches the driver or is broadcast. A text
+longer than a group is cut at white space and its parts are summed.
+
+A null text has no words, only its end; an empty one likewise; with no training rows every
+count is 0, and an empty table gives an empty result. Every row gets its own result, repeated ones equal
+results. Rows with a null id count as held in if held_out is null for them. Other columns are not needed and
+not returned, so none can clash.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import islice
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import attach, slices, spread, stored
+from tidewake.llm.common import mix, stored
 
-HEAD = 1 << 18
-HEAD_CHARS = 64
-MU = 200.0
+#: Weight of P(w), in tokens; of 1 to 200 the one with the best held-out scores on sf0.1.
+MU = 20.0
 #: Levels: the k-th begins at the k-th of these counts.
 BASE = 1.5
 BLOCK_BITS = 512
 PROBES = 4
-#: Bits an entry should have at least, or the cut-off rises.
-LEAST_BITS = 6.0
-BITS_PER_TOKEN = 6
-MAX_BITS = 1 << 29
-#: Bits of a hash that are kept, and bytes of those behind the first 8, which a segment's number gives back.
+#: Bits of the filter for each n-gram and level.
+ENTRY_BITS = 12
+#: Bits of an n-gram's hash.
 GRAM_BITS = 48
-REST_BYTES = 5
-#: Gathered n-grams to a segment, and to a task that builds segments; the fewest and most bits of a segment's number.
-SEGMENT_GRAMS = 1 << 17
-TASK_GRAMS = 1 << 21
-LEAST_SEGMENT_BITS, MOST_SEGMENT_BITS = 8, 16
-#: Words that a worker keeps by heart, and n-grams that it gathers, before it begins anew.
-CACHE = 300_000
-GATHER = 2_000_000
-BYTES_AT_ONCE = 1_500_000
+GRAM_BYTES = 6
+#: Bytes of text to a group; n-grams that groups send to a segment, about; groups that are scored by a task, about.
+GROUP_BYTES = 6_000_000
+SEGMENT_GRAMS = 1 << 20
+TASK_GROUPS = 4
 _M = np.uint64(0x9E3779B97F4A7C15)
+#: Hash of the end token, whose second part is zero.
 _END = np.uint64(0x5851F42D4C957F2D)
-
+WHITE_BYTE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def level_starts(most: int = 1 << 60) -> np.ndarray:
@@ -78,341 +79,362 @@ STARTS = level_starts()
 VALUES = np.concatenate([[0.0], (STARTS[:-1] + STARTS[1:] - 1) / 2])
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def short(h: np.ndarray) -> np.ndarray:
-    """The 48 bits of a hash that the filter knows."""
-    return h >> np.uint64(64 - GRAM_BITS)
-
-
-def segment_bits_for(grams: int) -> int:
-    """Bits of a segment's number, for so many gathered n-grams."""
-    return min(max((grams // SEGMENT_GRAMS).bit_length(), LEAST_SEGMENT_BITS), MOST_SEGMENT_BITS)
-
-
-def segment_of(grams: np.ndarray, bits: int) -> np.ndarray:
-    return (grams >> np.uint64(GRAM_BITS - bits)).astype(np.int64)
-
-
 def unigram(h: np.ndarray) -> np.ndarray:
-    return short(mix(h ^ _M))
-
+    return mix(h ^ _M) >> np.uint64(64 - GRAM_BITS)
 
-def bigram(before: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return short(mix(before * np.uint64(3) + mix(h)))
 
+def bigram(before: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+    """Of the hash of the word before, and mix() of the word's."""
+    return mix(before * np.uint64(3) + mixed) >> np.uint64(64 - GRAM_BITS)
 
-class Words(dict):
-    """word -> place in hashes; grows by itself."""
 
-    def __init__(self):
-        self.hashes: list[int] = []
+def segment_of(grams: np.ndarray, segments: int) -> np.ndarray:
+    return (((grams >> np.uint64(GRAM_BITS - 32)) * np.uint64(segments)) >> np.uint64(32)).astype(np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
 
-        self.hashes.append(xxh64_intdigest(word))
-        self[word] = at = len(self.hashes) - 1
-        return at
-
-    def __reduce__(self):
-        return (Words, ())
-
-
-def tokens(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray]:
-    """All words of the texts in a row, and how many each text has."""
-    each = [(t or b"").lower().split() for t in texts]
-    return [w for ws in each for w in ws], np.fromiter(map(len, each), np.int64, len(each))
-
-
-def sequences(at: np.ndarray, counts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each token with the end tokens put in, hash of the token before, and where each text begins."""
-    lengths = counts + 1
-    begins = np.cumsum(lengths) - lengths
-    h = np.full(int(lengths.sum()), _END, np.uint64)
-    is_word = np.ones(len(h), bool)
-    is_word[begins + counts] = False
-    h[is_word] = hashes[at]
-    before = np.roll(h, 1)
-    before[begins] = _END
-    return h, before, begins
+def places(grams: np.ndarray, level: int, blocks: int) -> np.ndarray:
+    """PROBES bits of each n-gram, all in one block, for a level."""
+    h = mix(grams * _M + np.uint64(1))
+    block = (h % np.uint64(blocks)).astype(np.int64) * BLOCK_BITS
+    x = mix(h + np.uint64(level * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
+    return np.stack([block + ((x >> np.uint64(9 * p)) & np.uint64(BLOCK_BITS - 1)).astype(np.int64) for p in range(PROBES)])
 
 
 @dataclass
 class LogBloom:
-    """The finished filter."""
+    """One segment of the filter."""
 
     bits: np.ndarray
-    segment_blocks: int
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
-        out, left = np.zeros(len(grams), np.int64), np.arange(len(grams))
-        size = self.segment_blocks * BLOCK_BITS
-        begins = segment_of(grams, (8 * len(self.bits) // size).bit_length() - 1) * size
-        cut = 1
-        while len(left) and cut < len(VALUES):
-            base, place = begins[left], places(grams[left], cut, self.segment_blocks)
+        """The level of each n-gram, by probes."""
+        out, left, level = np.zeros(len(grams), np.uint8), np.arange(len(grams)), 1
+        blocks = 8 * len(self.bits) // BLOCK_BITS
+        while blocks and len(left) and level < len(VALUES):
             there = np.ones(len(left), bool)
-            for p in range(PROBES):
-                q = base + place[p]
+            for q in places(grams[left], level, blocks):
                 there &= (self.bits[q >> 3] >> (q & 7).astype(np.uint8)) & 1 == 1
             left = left[there]
-            out[left] = cut
-            cut += 1
+            out[left] = level
+            level += 1
         return out
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
-        distinct, back = np.unique(grams, return_inverse=True)
-        return VALUES[self.levels(distinct)][back]
 
-
-def places(grams: np.ndarray, level: int, segment_blocks: int) -> np.ndarray:
-    """PROBES bits of each n-gram inside its segment, for a level."""
-    h = mix(grams * _M + np.uint64(1))
-    block = (h % np.uint64(segment_blocks)).astype(np.int64) * BLOCK_BITS
-    x = mix(h + np.uint64(level * 0xD6E8FEB86659FD93 & (1 << 64) - 1))
-    return np.stack([block + ((x >> np.uint64(9 * p)) & np.uint64(BLOCK_BITS - 1)).astype(np.int64) for p in range(PROBES)])
-
-
-def segment_bits(grams: np.ndarray, counts: np.ndarray, segment_blocks: int) -> bytes:
-    """The bits of one segment. n-grams below the cut-off are left out; all levels of the others go in."""
+def made(grams: np.ndarray, counts: np.ndarray, entry_bits: float = ENTRY_BITS) -> LogBloom:
+    """A segment of distinct n-grams and their counts."""
     level = np.searchsorted(STARTS, counts, "right")
-    least = 1
-    while level[level >= least].sum() * LEAST_BITS > segment_blocks * BLOCK_BITS:
-        least += 1
-    keep = level >= least
-    grams, level = grams[keep], level[keep]
-    bits = np.zeros(segment_blocks * BLOCK_BITS, np.uint8)
-    k = 1
+    blocks = math.ceil(int(level.sum()) * entry_bits / BLOCK_BITS)
+    bits = np.zeros(blocks * BLOCK_BITS, np.uint8)
+    grams, level, k = grams[level > 0], level[level > 0], 1
     while len(grams):
-        bits[places(grams, k, segment_blocks).ravel()] = 1
+        bits[places(grams, k, blocks).ravel()] = 1
         grams, level = grams[level > k], level[level > k]
         k += 1
-    return np.packbits(bits, bitorder="little").tobytes()
-
-
-_BLOBS = "segment int, rest binary, counts binary"
+    return LogBloom(np.packbits(bits, bitorder="little"))
 
 
-def _blobs(grams: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Rows of a segment's n-grams (sorted) and counts."""
-    cuts = np.searchsorted(segment_of(grams, bits), np.arange((1 << bits) + 1)).tolist()
-    rest = np.ascontiguousarray(grams[:, None].view(np.uint8)[:, :REST_BYTES])
-    counts = counts.astype(np.int32 if len(counts) and counts.max() < 1 << 31 else np.int64)
-    some = [(s, cuts[s], cuts[s + 1]) for s in range(1 << bits) if cuts[s + 1] > cuts[s]]
-    return pa.RecordBatch.from_arrays([
-        pa.array([s for s, _, _ in some], pa.int32()),
-        pa.array([rest[i:j].tobytes() for _, i, j in some], pa.binary()),
-        pa.array([counts[i:j].tobytes() for _, i, j in some], pa.binary()),
-    ], names=["segment", "rest", "counts"])
-
+class Words(dict):
+    """word -> its number, by first use."""
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    g, c = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    order = np.argsort(g, kind="stable")
-    g, c = g[order], c[order]
-    starts = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])) if len(g) else np.zeros(0, np.int64)
-    return g[starts], np.add.reduceat(c, starts) if len(g) else c
+    def __missing__(self, word: bytes | None) -> int:
+        self[word] = at = len(self)
+        return at
 
 
-def _numbered(flat: list[bytes], cache: Words) -> np.ndarray:
-    return np.fromiter(map(cache.__getitem__, flat), np.int64, len(flat))
+def parts(text: bytes, most: int) -> Iterator[bytes]:
+    """text, cut at white space into parts of about so many bytes."""
+    at = 0
+    while len(text) - at > most:
+        cut = WHITE_BYTE.search(text, at + most)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:] if at else text
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, trained, n): a word's tokens in training rows and in all rows, exact. docs: _t, held_out."""
+@dataclass
+class Group:
+    """Texts, or parts of them, as numbers of words; each begins with the word before it (at first the end token, None)."""
+
+    places: Words = field(default_factory=Words)
+    numbers: list[int] = field(default_factory=list)
+    sizes: list[int] = field(default_factory=list)
+    ids: list = field(default_factory=list)
+    held: list[bool] = field(default_factory=list)
+    keys: list[int] = field(default_factory=list)
+    bytes: int = 0
+
+    def add(self, words: list[bytes | None], before: bytes | None, id: object, held: bool, key: int, size: int) -> None:
+        self.numbers.append(self.places[before])
+        self.numbers.extend(map(self.places.__getitem__, words))
+        self.sizes.append(len(words) + 1)
+        self.ids.append(id)
+        self.held.append(held)
+        self.keys.append(key)
+        self.bytes += size
+
+    def row(self, group: int) -> dict:
+        """Words are numbered by how common they are, the commonest first, so that numbers compress well."""
+        from xxhash import xxh3_128_digest
+
+        words = list(self.places)
+        pairs = np.frombuffer(b"".join(xxh3_128_digest(w or b"") for w in words), np.uint64).reshape(-1, 2)
+        h, g = pairs[:, 0].copy(), (pairs[:, 1] >> np.uint64(32)).astype(np.uint32)
+        if None in self.places:
+            h[self.places[None]], g[self.places[None]] = _END, 0
+        numbers = np.array(self.numbers, np.int64)
+        order = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        sizes, held = np.array(self.sizes, np.int32), np.array(self.held, bool)
+        kind = np.uint16 if len(words) <= 1 << 16 else np.uint32
+        return {
+            "group": group, "ids": self.ids, "held": np.packbits(held).tobytes(), "keys": self.keys, "sizes": sizes.tobytes(), "h": h[order].tobytes(), "g": g[order].tobytes(), "numbers": rank[numbers].astype(kind).tobytes(),
+            "n_grams": len(numbers) + len(words), "n_trained": int((sizes - 1)[~held].sum()),
+        }
+
+
+_GROUP = "group bigint, ids array<{kind}>, held binary, keys array<bigint>, sizes binary, h binary, g binary, numbers binary, n_grams bigint, n_trained bigint"
+
+
+def groups(docs: DataFrame, group_bytes: int) -> DataFrame:
+    """A row for each group of docs (id, t, held_out)."""
+    kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> pa.RecordBatch:
-            ws = list({**held, **trained})
-            return pa.RecordBatch.from_arrays([pa.array(ws, pa.binary()), pa.array([trained.get(w, 0) for w in ws], pa.int64()), pa.array([trained.get(w, 0) + held.get(w, 0) for w in ws], pa.int64())], names=["word", "trained", "n"])
+        from pyspark import TaskContext
 
-        trained: Counter[bytes] = Counter()
-        held: Counter[bytes] = Counter()
-        for b in slices(batches, "_t", BYTES_AT_ONCE):
-            for text, apart in zip(b.column("_t").to_pylist(), b.column("held_out").to_pylist(), strict=True):
-                (held if apart else trained).update((text or b"").lower().split())
-            if len(trained) + len(held) > CACHE:
-                yield out()
-                trained.clear()
-                held.clear()
-        yield out()
+        made, group, row = TaskContext.get().partitionId() << 24, Group(), 0
+        of_id = None
 
-    counts = docs.select("_t", "held_out").mapInArrow(run, "word binary, trained bigint, n bigint")
-    return counts.groupBy("word").agg(F.sum("trained").alias("trained"), F.sum("n").alias("n"))
+        def out() -> pa.RecordBatch:
+            r = group.row(made)
+            ids = pa.ListArray.from_arrays(pa.array([0, len(r["ids"])], pa.int32()), pa.array([x.as_py() for x in r.pop("ids")], of_id))
+            keys = pa.array([r.pop("keys")], pa.list_(pa.int64()))
+            rest = {k: pa.array([v]) for k, v in r.items()}
+            return pa.RecordBatch.from_pydict({"group": rest.pop("group"), "ids": ids, "held": rest.pop("held"), "keys": keys, **rest})
 
+        for b in batches:
+            of_id = b.column(0).type
+            for id, t, held in zip(b.column(0), b.column(1), b.column(2).to_pylist(), strict=True):
+                key, before = (TaskContext.get().partitionId() << 40) + row, None
+                row += 1
+                whole = t.as_py() or b""
+                cut = list(parts(whole, group_bytes)) if len(whole) > group_bytes else [whole]
+                for k, part in enumerate(cut):
+                    words = part.lower().split()
+                    last = words[-1] if words else before
+                    group.add([*words, None] if k == len(cut) - 1 else words, before, id, held, key, len(part))
+                    before = last
+                    if group.bytes > group_bytes or len(group.sizes) >= 1 << 16:
+                        yield out()
+                        made, group = made + 1, Group()
+        if group.sizes:
+            yield out()
+
+    return docs.select("id", "t", "held_out").mapInArrow(run, _GROUP.format(kind=kind))
 
-def bigram_blobs(docs: DataFrame, bits: int) -> DataFrame:
-    """Counts of the training rows' pairs."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, hashes, parts, size = Words(), np.zeros(0, np.uint64), [], 0
-        for b in slices(batches, "_t", BYTES_AT_ONCE):
-            flat, counts = tokens(b.column("_t").to_pylist())
-            at = _numbered(flat, cache)
-            hashes = np.append(hashes, np.array(cache.hashes[len(hashes):], np.uint64))
-            h, before, _ = sequences(at, counts, hashes)
-            parts.append(np.unique(bigram(before, h), return_counts=True))
-            size += len(parts[-1][0])
-            if len(cache) > CACHE:
-                cache, hashes = Words(), np.zeros(0, np.uint64)
-            if size > GATHER:
-                parts = [_merged(parts)]
-                size = len(parts[0][0])
-                if size > GATHER // 2:
-                    yield _blobs(*parts[0], bits)
-                    parts, size = [], 0
-        if parts:
-            yield _blobs(*_merged(parts), bits)
-
-    return docs.where("not held_out").select("_t").mapInArrow(run, _BLOBS)
-
-
-def unigram_blobs(words: DataFrame, ends: int, bits: int) -> DataFrame:
-    """Counts of the training rows' words. ends: the number of training rows, for the end token."""
+@dataclass
+class Pairs:
+    """A group's distinct pairs of neighbouring words, in the order of their hashes, and which of them each token is."""
+
+    h: np.ndarray
+    g: np.ndarray
+    words: np.ndarray
+    trained_words: np.ndarray
+    order: np.ndarray
+    before: np.ndarray
+    word: np.ndarray
+    of_token: np.ndarray
+    grams: np.ndarray
+    trained: np.ndarray
+    sizes: np.ndarray
+    tokens: np.ndarray
+
+
+def pairs_of(sizes: bytes, held: bytes, h: bytes, g: bytes, numbers: bytes) -> Pairs:
+    own, wide = np.frombuffer(sizes, np.int32).astype(np.int64), np.frombuffer(h, np.uint64)
+    n = int(own.sum())
+    seq = np.frombuffer(numbers, np.uint16 if len(numbers) == 2 * n else np.uint32).astype(np.int64)
+    token = np.ones(n, bool)
+    token[np.cumsum(own) - own] = False
+    word, before = seq[token], seq[np.flatnonzero(token) - 1]
+    apart = np.repeat(np.unpackbits(np.frombuffer(held, np.uint8), count=len(own)).astype(bool), own - 1)
+    codes, of_token = np.unique(before * len(wide) + word, return_inverse=True)
+    before, own_word = codes // max(len(wide), 1), codes % max(len(wide), 1)
+    grams = bigram(wide[before], mix(wide)[own_word])
+    order = np.argsort(grams, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    of_token = place[of_token]
+    trained = np.bincount(of_token[~apart], minlength=len(order))
+    uni = unigram(wide)
+    return Pairs(wide, np.frombuffer(g, np.uint32), uni, np.bincount(word[~apart], minlength=len(wide)), np.argsort(uni, kind="stable"), before[order], own_word[order], of_token, grams[order], trained, own - 1, word)
+
+
+def _small(counts: np.ndarray) -> bytes:
+    top = int(counts.max()) if len(counts) else 0
+    return counts.astype(np.uint8 if top < 1 << 8 else np.uint32 if top < 1 << 32 else np.uint64).tobytes()
+
+
+def _wide(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, {1: np.uint8, 4: np.uint32, 8: np.uint64}[len(data) // n]).astype(np.int64) if n else np.zeros(0, np.int64)
+
+
+_PROBES = "segment int, group bigint, grams binary, counts binary, h binary, g binary, word_counts binary"
+
+
+def probes(rows: DataFrame, segments: int) -> DataFrame:
+    """What each group sends to each segment: its n-grams and their counts in training rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
-        parts, size = [], 0
         for b in batches:
-            h = np.fromiter((_END if w is None else xxh64_intdigest(w) for w in b.column("word").to_pylist()), np.uint64, b.num_rows)
-            parts.append((unigram(h), b.column("trained").to_numpy().astype(np.int64)))
-            size += b.num_rows
-            if size > GATHER:
-                yield _blobs(*_merged(parts), bits)
-                parts, size = [], 0
-        if size:
-            yield _blobs(*_merged(parts), bits)
-
-    end = words.sparkSession.range(1).select(F.lit(None).cast("binary").alias("word"), F.lit(ends).cast("bigint").alias("trained"))
-    return words.where("trained > 0").select("word", "trained").union(end.where("trained > 0")).mapInArrow(run, _BLOBS)
-
-
-def build_filter(blobs: DataFrame, grams: int, max_bits: int = MAX_BITS) -> LogBloom:
-    """The filter of all counts, of so many n-grams, repeats included. Each task makes its segments, the more the more n-grams there are; the driver puts at most max_bits together."""
-    wanted = min(max(BITS_PER_TOKEN * grams, 1 << 20), max_bits)
-    number_bits = segment_bits_for(grams)
-    segments = 1 << number_bits
-    blocks = max(1, wanted // (segments * BLOCK_BITS))
-    tasks = min(max(-(-grams // TASK_GRAMS), 8), segments)
+            for group, *data in zip(*(b.column(c).to_pylist() for c in ("group", "sizes", "held", "h", "g", "numbers")), strict=True):
+                p = pairs_of(*data)
+                cuts = np.searchsorted(segment_of(p.grams, segments), np.arange(segments + 1)).tolist()
+                h, g, words, counted = p.h[p.order], p.g[p.order], p.words[p.order], p.trained_words[p.order]
+                at = np.searchsorted(segment_of(words, segments), np.arange(segments + 1)).tolist()
+                low = np.ascontiguousarray(p.grams[:, None].view(np.uint8)[:, :GRAM_BYTES])
+                some = [s for s in range(segments) if cuts[s + 1] > cuts[s] or at[s + 1] > at[s]]
+                blob = lambda f: pa.array([f(s) for s in some], pa.binary())  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(some, pa.int32()), pa.array([group] * len(some), pa.int64()),
+                    blob(lambda s: low[cuts[s] : cuts[s + 1]].tobytes()), blob(lambda s: _small(p.trained[cuts[s] : cuts[s + 1]])),  # noqa: B023
+                    blob(lambda s: h[at[s] : at[s + 1]].tobytes()), blob(lambda s: g[at[s] : at[s + 1]].tobytes()), blob(lambda s: _small(counted[at[s] : at[s + 1]])),  # noqa: B023
+                ], names=["segment", "group", "grams", "counts", "h", "g", "word_counts"])
+
+    return rows.select("group", "sizes", "held", "h", "g", "numbers").mapInArrow(run, _PROBES)
+
+
+def summed(keys: tuple[np.ndarray, ...], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the first of each distinct key, the sum of its counts, and which of them each row is."""
+    order = np.lexsort(keys)
+    new = np.ones(len(order), bool)
+    for k in keys:
+        ks = k[order]
+        same = ks[1:] == ks[:-1]
+        new[1:] = ~same if k is keys[0] else new[1:] | ~same
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(new) - 1
+    starts = np.flatnonzero(new)
+    return order[starts], np.add.reduceat(counts[order], starts) if len(starts) else counts[:0], which
+
+
+_ANSWERS = "segment int, group bigint, levels binary, word_levels binary, word_counts binary, distinct bigint, bits binary"
+
+
+def answered(rows: list[tuple], entry_bits: float) -> tuple[list[tuple[bytes, bytes, bytes]], int, bytes]:
+    """One segment: the answers to its rows (grams, counts, h, g, word_counts), its distinct trained words, and its filter's bits."""
+    sizes = [len(r[0]) // GRAM_BYTES for r in rows]
+    raw = np.zeros((sum(sizes), 8), np.uint8)
+    raw[:, :GRAM_BYTES] = np.frombuffer(b"".join(r[0] for r in rows), np.uint8).reshape(-1, GRAM_BYTES)
+    grams = raw.view(np.uint64)[:, 0]
+    counts = np.concatenate([_wide(r[1], n) for r, n in zip(rows, sizes, strict=True)])
+    words = [len(r[2]) // 8 for r in rows]
+    h, g = np.frombuffer(b"".join(r[2] for r in rows), np.uint64), np.frombuffer(b"".join(r[3] for r in rows), np.uint32)
+    counted = np.concatenate([_wide(r[4], n) for r, n in zip(rows, words, strict=True)])
+    first, exact, of_word = summed((g, h), counted)
+    own = unigram(h[first])
+    # Words whose short hashes are equal count as one in the filter, like other n-grams.
+    all_grams, all_counts = np.concatenate([grams, own]), np.concatenate([counts, exact])
+    distinct, total, which = summed((all_grams,), all_counts)
+    bloom = made(all_grams[distinct], total, entry_bits)
+    level = bloom.levels(all_grams[distinct])[which]
+    of_gram, of_own = level[: len(grams)], level[len(grams) :][of_word]
+    to_row = exact[of_word]
+    out, i, j = [], 0, 0
+    for n, m in zip(sizes, words, strict=True):
+        out.append((of_gram[i : i + n].tobytes(), of_own[j : j + m].tobytes(), _small(to_row[j : j + m])))
+        i, j = i + n, j + m
+    return out, int((exact > 0).sum()), bloom.bits.tobytes()
+
+
+def answers(sent: DataFrame, segments: int, entry_bits: float = ENTRY_BITS) -> DataFrame:
+    """A row for each row of probes, and one for each segment itself (group -1): its filter, and its number of trained words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        sizes: Counter[int] = Counter()
+        held: dict[int, list[tuple]] = {}
         for b in batches:
-            for segment, rest, counts in zip(*(b.column(c).to_pylist() for c in ("segment", "rest", "counts")), strict=True):
-                n = len(rest) // REST_BYTES
-                whole = np.zeros((n, 8), np.uint8)
-                whole[:, :REST_BYTES] = np.frombuffer(rest, np.uint8).reshape(n, REST_BYTES)
-                grams = whole.view(np.uint64)[:, 0] | np.uint64((segment >> number_bits - (GRAM_BITS - 8 * REST_BYTES)) << 8 * REST_BYTES)
-                held.setdefault(segment, []).append((grams, np.frombuffer(counts, np.int32 if len(counts) == 4 * n else np.int64).astype(np.int64)))
-                sizes[segment] += n
-                if sizes[segment] > 2_000_000:
-                    held[segment] = [_merged(held[segment])]
-                    sizes[segment] = len(held[segment][0][0]) // 2
+            for segment, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                held.setdefault(segment, []).append(row)
         for segment in sorted(held):
-            grams, counts = _merged(held.pop(segment))
-            yield pa.RecordBatch.from_pydict({"segment": pa.array([segment], pa.int32()), "bits": pa.array([segment_bits(grams, counts, blocks)], pa.binary())})
-
-    dealt = blobs.repartitionById(tasks, F.floor(F.col("segment").cast("long") * tasks / F.lit(segments)).cast("int"))
-    made = dealt.mapInArrow(run, "segment int, bits binary").toArrow()  # max_bits at most
-    size = blocks * BLOCK_BITS // 8
-    bits = np.zeros(segments * size, np.uint8)
-    for b in made.to_batches():
-        for segment, own in zip(b.column("segment").to_pylist(), b.column("bits"), strict=True):
-            bits[segment * size : (segment + 1) * size] = np.frombuffer(own.as_buffer(), np.uint8)
-    return LogBloom(bits, blocks)
+            rows = held.pop(segment)
+            replies, distinct, bits = answered([r[1:] for r in rows], entry_bits)
+            rows = [(segment, r[0], *a, None, None) for r, a in zip(rows, replies, strict=True)] + [(segment, -1, None, None, None, distinct, bits)]
+            kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=[x.split()[0] for x in _ANSWERS.split(", ")])
+
+    return sent.repartitionById(segments, F.col("segment")).mapInArrow(run, _ANSWERS)
+
+
+_SCORES = "id {kind}, held_out boolean, key bigint, n_tokens bigint, n_known bigint, base_score double, score double"
+
+
+def scored(data: tuple, replies: list[tuple], norm: float) -> tuple[np.ndarray, ...]:
+    """Tokens, known tokens, base score and score of each part of a group. replies: (segment, levels, word_levels, word_counts)."""
+    p = pairs_of(*data)
+    replies = sorted(replies)
+    join = lambda k: b"".join(r[k] for r in replies)
+    pair = VALUES[np.frombuffer(join(1), np.uint8)]
+    own, exact = np.empty(len(p.h)), np.empty(len(p.h), np.int64)
+    own[p.order] = VALUES[np.frombuffer(join(2), np.uint8)]
+    exact[p.order] = np.concatenate([_wide(r[3], len(r[2])) for r in replies]) if replies else 0
+    context = own[p.before]
+    likely = (np.minimum(pair, context) + MU * (own[p.word] + 0.5) / norm) / (context + MU)
+    of_pair = np.log10(np.minimum(likely, 1.0))
+    of_word, known = np.log10((exact + 0.5) / norm), (exact > 0).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(p.sizes)])
+    total = lambda x: np.diff(np.concatenate([[0], np.cumsum(x)])[ends])
+    # Sums by part, not differences of running sums, for the two scores: texts keep full precision.
+    part = np.repeat(np.arange(len(p.sizes)), p.sizes)
+    by_part = lambda x: np.bincount(part, x, minlength=len(p.sizes))
+    return p.sizes, total(known[p.tokens]), by_part(of_word[p.tokens]), by_part(of_pair[p.of_token])
+
+
+def scores(rows: DataFrame, replies: DataFrame, norm: float, tasks: int) -> DataFrame:
+    """_SCORES of each part of the groups, each group with its answers."""
+    kind = rows.schema["ids"].dataType.elementType.simpleString()
+    none = lambda k: F.lit(None).cast(k)
+    one = rows.select("group", none("int").alias("segment"), *[none("binary").alias(c) for c in ("levels", "word_levels", "word_counts")], "ids", "held", "keys", "sizes", "h", "g", "numbers")
+    two = replies.where("group >= 0").select("group", "segment", "levels", "word_levels", "word_counts", none(f"array<{kind}>").alias("ids"), none("binary").alias("held"), none("array<bigint>").alias("keys"), *[none("binary").alias(c) for c in ("sizes", "h", "g", "numbers")])
+    dealt = one.union(two).repartition(tasks, "group").sortWithinPartitions("group")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            ids, held, keys, *data = whole
+            tokens, known, base, score = scored((data[0], held, *data[1:]), got, norm)
+            apart = np.unpackbits(np.frombuffer(held, np.uint8), count=len(tokens)).astype(bool)
+            return pa.RecordBatch.from_arrays([ids, pa.array(apart), pa.array(keys, pa.int64()), pa.array(tokens), pa.array(known), pa.array(base), pa.array(score)], names=[x.split()[0] for x in _SCORES.split(", ")])
 
-def lm_scores(df: DataFrame, held_out: F.Column, id_col: str = "doc_id", text: str = "text", head: int = HEAD, max_bits: int = MAX_BITS) -> DataFrame:
+        group, whole, got = None, None, []
+        for b in batches:
+            columns = [b.column(c).to_pylist() for c in ("group", "segment", "levels", "word_levels", "word_counts")]
+            for i, (own, segment, *reply) in enumerate(zip(*columns, strict=True)):
+                if own != group:
+                    if whole:
+                        yield out()
+                    group, whole, got = own, None, []
+                if segment is None:
+                    whole = (b.column("ids")[i].values, *(b.column(c)[i].as_py() for c in ("held", "keys", "sizes", "h", "g", "numbers")))
+                else:
+                    got.append((segment, *reply))
+        if whole:
+            yield out()
+
+    return dealt.mapInArrow(run, _SCORES.format(kind=kind))
+
+
+def lm_scores(df: DataFrame, held_out: Column, id_col: str = "doc_id", text: str = "text", group_bytes: int = GROUP_BYTES, segment_grams: int = SEGMENT_GRAMS) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of df, trained on rows where held_out is false."""
-    spark = df.sparkSession
-    kind = df.schema[id_col].dataType.simpleString()
-    docs = df.select(F.col(id_col).alias("_id"), F.col(text).cast("binary").alias("_t"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    vocabulary = stored(word_counts(docs), "words")
-    ends = docs.where("not held_out").count()
-    known = vocabulary.agg(F.coalesce(F.sum("trained"), F.lit(0)), F.count_if(F.col("trained") > 0)).first()
-    total, distinct = known[0] + ends, known[1] + (ends > 0)
-    number_bits = segment_bits_for(2 * total)
-    bloom = build_filter(bigram_blobs(docs, number_bits).unionByName(unigram_blobs(vocabulary, ends, number_bits)), 2 * total, max_bits)
-    shared = spark.sparkContext.broadcast((bloom.bits, bloom.segment_blocks))
-    common = vocabulary.where(F.length("word") <= HEAD_CHARS).orderBy(F.desc("n"), "word").limit(head)
-    heads = spark.sparkContext.broadcast({bytes(r.word): r.trained for r in common.toLocalIterator()})
-    norm = total + 0.5 * (distinct + 1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_intdigest
-
-        def anew() -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
-            return Words(), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
-
-        model, exact = LogBloom(*shared.value), heads.value
-        of_end = float(model.counts(unigram(np.array([_END])))[0])
-        cache, hashes, of_word, filtered = anew()  # by a word's place: its hash, its exact count or -1, the filter's count
-        for b in slices(batches, "_t", BYTES_AT_ONCE):
-            texts = b.column("_t").to_pylist()
-            flat, counts = tokens(texts)
-            if len(cache) > CACHE:
-                cache, hashes, of_word, filtered = anew()
-            at = _numbered(flat, cache)
-            if new := len(cache) - len(of_word):
-                of_word = np.append(of_word, np.fromiter((exact.get(w, -1) for w in islice(cache, len(of_word), None)), np.int64, new))
-                hashes = np.append(hashes, np.array(cache.hashes[len(hashes):], np.uint64))
-                filtered = np.append(filtered, model.counts(unigram(hashes[-new:])))
-            h, before, begins = sequences(at, counts, hashes)
-            is_word = np.ones(len(h), bool)
-            is_word[begins + counts] = False
-            own = np.full(len(h), of_end)
-            own[is_word] = filtered[at]
-            context = np.roll(own, 1)
-            context[begins] = of_end
-            p = (own + 0.5) / norm
-            pair = np.minimum(model.counts(bigram(before, h)), context)
-            score = np.add.reduceat(np.log10(np.minimum((pair + MU * p) / (context + MU), 1.0)), begins)
-            c = np.full(len(h), ends, np.int64)
-            c[is_word] = of_word[at]
-            in_head = c >= 0
-            base = np.add.reduceat(np.where(in_head, np.log10((np.maximum(c, 0) + 0.5) / norm), 0.0), begins)
-            n_known = np.add.reduceat((c > 0).astype(np.int64), begins)
-            sums = np.array([xxh64_intdigest(t or b"") for t in texts], np.uint64).view(np.int64)
-            n = b.num_rows
-            ids, held = b.column("_id"), b.column("held_out")
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sums), held, pa.array([None] * n, pa.binary()), pa.array(np.ones(n, np.int64)), pa.array(counts + 1), pa.array(n_known), pa.array(base), pa.array(score)], names=names)
-            tail = np.flatnonzero(of_word[at] < 0)
-            if len(tail):
-                doc = np.repeat(np.arange(n), counts)[tail]
-                key, many = np.unique(doc.astype(np.int64) << 32 | at[tail], return_counts=True)
-                doc, word = pa.array(key >> 32), (key & 0xFFFFFFFF)
-                listed = list(cache)
-                none = pa.array(np.zeros(len(key), np.int64))
-                yield pa.RecordBatch.from_arrays([ids.take(doc), pa.array(sums[key >> 32]), held.take(doc), pa.array([listed[i] for i in word.tolist()], pa.binary()), pa.array(many), none, none, pa.array(np.zeros(len(key))), pa.array(np.zeros(len(key)))], names=names)
-
-    names = ["_id", "_sum", "held_out", "word", "_many", "n_tokens", "n_known", "base_score", "score"]
-    parts = docs.mapInArrow(run, f"_id {kind}, _sum bigint, held_out boolean, word binary, _many bigint, n_tokens bigint, n_known bigint, base_score double, score double")
-    # A row without a word is a text's own; it is dealt out by a word that no text has.
-    parts = parts.withColumn("_key", F.coalesce("word", F.concat(F.lit(b"\n"), F.col("_sum").cast("string").cast("binary"))))
-    counts = vocabulary.select(F.col("word").alias("_key"), "trained", "n")
-    joined = attach(parts, counts, "_key", spread(F.col("_sum")), total)
-    c = F.coalesce("trained", F.lit(0))
-    is_tail = F.col("word").isNotNull()
-    joined = joined.select(
-        "_id", "_sum", "held_out",
-        F.when(is_tail, 0).otherwise(F.col("_many")).alias("copies"),
-        "n_tokens", "score",
-        F.when(is_tail & (c > 0), F.col("_many")).otherwise(F.col("n_known")).alias("n_known"),
-        F.when(is_tail, F.col("_many") * F.log10((c + 0.5) / F.lit(norm))).otherwise(F.col("base_score")).alias("base_score"),
-    )
-    sums = joined.groupBy("_id", "_sum", "held_out").agg(*[F.sum(x).alias(x) for x in ("copies", "n_tokens", "n_known", "base_score", "score")])
-    each = sums.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    whole = lambda x: (F.col(x) / F.col("copies"))
-    return each.select(
-        F.col("_id").alias(id_col), "held_out",
-        whole("n_tokens").cast("long").alias("n_tokens"), whole("n_known").cast("long").alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"), whole("base_score").alias("base_score"), whole("score").alias("score"),
-    )
+    docs = df.select(F.col(id_col).alias("id"), F.col(text).cast("binary").alias("t"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
+    rows = stored(groups(docs, group_bytes), "groups", compression="zstd")
+    grams, total, many = rows.agg(F.coalesce(F.sum("n_grams"), F.lit(0)), F.coalesce(F.sum("n_trained"), F.lit(0)), F.count("*")).first()
+    segments = max(8, -(-grams // segment_grams))
+    replies = stored(answers(probes(rows, segments), segments), "answers")
+    distinct = replies.where("group = -1").agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
+    found = scores(rows, replies, total + 0.5 * (distinct + 1), max(8, -(-many // TASK_GROUPS)))
+    # Texts of several parts are summed; their rows are told apart by key.
+    sums = found.groupBy("key").agg(F.first("id").alias("id"), F.first("held_out").alias("held_out"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
+    return sums.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

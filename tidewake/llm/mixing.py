@@ -13,9 +13,10 @@ sources with more than LONG slots in a round each block is listed, LIST_BLOCKS t
 When a source has no blocks left, a new phase begins with the weights of those that
 have; so all rows are placed. Only if a resolution is given, weights become shares of it by
 largest remainders, each at least one. Sources without a weight, and null, share
-other_weight as one source, named null. Ties in the hash go by id; rows with one id and
-source may take each other's places. An empty table stays empty. Added columns (slot,
-place, phase) replace any of the same name.
+other_weight as one source, named null. Rows with a null id are told apart by their other columns, but for
+maps and variants. Ties in the hash go by id; rows with one id and
+source may take each other's places. Texts are not looked at, however long. An empty table stays empty. Other columns pass through,
+whatever their names; added ones (slot, place, phase) replace any of the same name.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewake.llm.common import packed, unpacked
+
 BLOCK_ROWS = 64
 #: Slots of a source in a round, up to which the round is kept and not its blocks' list; blocks to a row of the list.
 LONG = 256
@@ -123,10 +126,11 @@ def listed(rows: list[dict]) -> list[dict]:
 
 def mix_sources(df: DataFrame, weights: dict[str, float], id_col: str = "doc_id", source: str = "source", other_weight: float = 0.01, block_rows: int = BLOCK_ROWS, resolution: int | None = None, seed: int = 0) -> DataFrame:
     """df with slot, place (within the slot's block) and phase; rows in the order of (slot, place) are the mixture."""
-    df = df.drop("slot", "place", "phase")
     names = list(weights)
     index = F.coalesce(F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])[F.col(source)] if names else F.lit(None), F.lit(len(names)))
-    rows = df.withColumn("_source", index).withColumn("_hash", F.xxhash64(F.lit(seed), F.col(id_col)))
+    others = [F.col(f"`{f.name}`") for f in df.schema if f.dataType.typeName() not in ("map", "variant") and f.name.lower() != id_col.lower()]
+    apart = F.when(F.col(id_col).isNull(), F.xxhash64(*others)) if others else F.lit(None).cast("long")
+    rows = packed(df, index.alias("_source"), F.xxhash64(F.lit(seed), F.col(id_col), apart).alias("_hash"), F.col(id_col).alias("_id"))
     counts = {r["_source"]: r["n"] for r in rows.groupBy("_source").agg(F.count("*").alias("n")).collect()}  # one for each weight, and one
     total = sum(counts.values())
     order = [i for i in range(len(names) + 1) if (i == len(names) and other_weight > 0) or (i < len(names) and weights[names[i]] > 0) or not counts.get(i)]
@@ -140,7 +144,7 @@ def mix_sources(df: DataFrame, weights: dict[str, float], id_col: str = "doc_id"
     before = F.coalesce(F.sum("_n").over(Window.partitionBy("_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sizes = sizes.select(F.col("_source").alias("_s"), F.col("_part").alias("_p"), before.alias("_before"))
     # Hashes are unsigned in this order, as parts are.
-    by = Window.partitionBy("_source", "_part").orderBy(F.shiftrightunsigned("_hash", 32), "_hash", id_col)
+    by = Window.partitionBy("_source", "_part").orderBy(F.shiftrightunsigned("_hash", 32), "_hash", "_id")
     rows = rows.withColumn("_rank", F.row_number().over(by) - 1)
     rows = rows.join(sizes, (F.col("_source") == F.col("_s")) & (F.col("_part") == F.col("_p"))).withColumn("_rank", F.col("_rank") + F.col("_before"))
 
@@ -159,9 +163,9 @@ def mix_sources(df: DataFrame, weights: dict[str, float], id_col: str = "doc_id"
         same = (F.col("_source") == F.col("_in")) & (F.floor(F.col("_block") / LIST_BLOCKS).cast("long") == F.col("_at"))
         rows = rows.join(F.broadcast(lists.select(F.col("source").alias("_in"), F.col("part").alias("_at"), F.struct("*").alias("l"))), same & inside, "left")
         slot, phase = F.coalesce(slot, F.get("l.slots", (F.col("_block") - F.col("l.from_block")).cast("int"))), F.coalesce(phase, "l.phase")
-    return rows.select(*df.columns, slot.alias("slot"), (F.col("_rank") % block_rows).cast("int").alias("place"), phase.alias("phase"))
+    return rows.select(*unpacked("slot", "place", "phase", columns=df.columns), slot.alias("slot"), (F.col("_rank") % block_rows).cast("int").alias("place"), phase.alias("phase"))
 
 
-def in_order(mixed: DataFrame, partitions: int) -> DataFrame:
-    """mixed, laid out so that its files, read one after the other, are the mixture."""
-    return mixed.repartitionByRange(partitions, "slot", "place").sortWithinPartitions("slot", "place")
+def in_order(mixed: DataFrame) -> DataFrame:
+    """mixed, laid out so that its files, read one after the other by name, are the mixture. Adaptive execution joins small ones."""
+    return mixed.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place")

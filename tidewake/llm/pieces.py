@@ -2,10 +2,13 @@
 
 A segmentation is drawn from all of the piece lattice: forward sums of path
 weights are filtered from left to right, then pieces are drawn from the end
-backwards. Draws come from a hash of the seed, the row's key, and the place, so
-they do not depend on partitions, order or retries. No piece of a supported model
+backwards. Draws (of 32 bits) come from a hash of the seed, the row's key, and the place, so
+they do not depend on partitions, order or retries. Pieces are found by walking a trie, one code point
+after the other, so what is found is in the text. No piece of a supported model
 goes on over a space or a line feed, so the lattice falls apart into words, and
-the sums of equal words of a batch are worked out once, all words together.
+the sums of equal words of a batch are worked out once, all words together. A word of over LONG
+code points is filtered CHUNK at a time, keeping only the sums that the next chunk needs; going back, each chunk's sums are
+worked out again from those. So memory is bounded for words and texts of any length, but for the result itself.
 
 A unigram model's piece weighs exp(alpha * score). A BPE model's scores only rank
 its pieces, which weigh (2 + rank) ** -alpha. Characters without a piece, and the
@@ -13,33 +16,39 @@ sign that stands for a space where it is itself in the text, become byte pieces,
 so decoding gives every text back.
 
 Null texts have null pieces, empty ones none. Rows equal in key and text get equal
-pieces; a null key is a key like others. Other columns pass through, the added ones
-(pieces, n_pieces) replace any of the same name.
+pieces; a null key is a key like others. An empty table stays empty. Other columns pass through, the added ones
+(pieces, n_pieces, and lossless or the decoded text) replace any of the same name; there are no others that could clash.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import slices
+from tidewake.llm.common import mix, slices
 
 SPACE = 0x2581
 #: What the sign for a space is in the lattice if the text has it; no piece has this.
 LITERAL = 0x110000
 SEGMENT = re.compile(r" *[^ \n]+| +|\n+")
-#: Words longer than this have their sums worked out one by one.
+#: Code points of words whose sums are worked out together; to a chunk of longer ones.
 LONG = 48
-BYTES_AT_ONCE = 1_000_000
-_P = np.uint64(0x100000001B3)
+CHUNK = 1 << 14
+BYTES_AT_ONCE = 2_000_000
+#: Words whose pieces are drawn together.
+SEGMENTS_AT_ONCE = 1 << 19
 _G = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a code point in a trie's key.
+CODE_BITS = 21
 
 
 @dataclass
@@ -49,7 +58,7 @@ class Model:
     pieces: list[str]
     weights: np.ndarray
     byte_ids: np.ndarray
-    #: For each length: sorted hashes of prefixes, and the piece that each is, or -1.
+    #: The trie, for each depth: sorted keys (number of the node above, code point), and the piece that ends there, or -1. A node's number is its place.
     prefixes: list[tuple[np.ndarray, np.ndarray]]
     bytes_of: list[bytes] = field(default_factory=list)
 
@@ -58,10 +67,6 @@ class Model:
         return len(self.pieces)
 
 
-def _hash(codes: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return (h ^ codes) * _P
-
-
 def load_model(path: str, alpha: float = 1.0) -> Model:
     """Reads a .model file."""
     from sentencepiece import sentencepiece_model_pb2
@@ -76,7 +81,7 @@ def load_model(path: str, alpha: float = 1.0) -> Model:
     weights = np.zeros(len(pieces) + 2)
     weights[len(pieces)] = 1.0
     byte_ids = np.full(256, -1, np.int64)
-    by_length: list[dict[int, int]] = []
+    known: dict[str, int] = {}
     bytes_of = []
     for i, p in enumerate(proto.pieces):
         bytes_of.append(b"")
@@ -88,91 +93,102 @@ def load_model(path: str, alpha: float = 1.0) -> Model:
                 raise ValueError("pieces that go on over white space aren't supported")
             weights[i] = (2 - p.score) ** -alpha if ranked else math.exp(alpha * p.score)
             bytes_of[i] = p.piece.replace("▁", " ").encode()
-            h = np.zeros(1, np.uint64)
-            for k, c in enumerate(p.piece):
-                h = _hash(np.array([ord(c) + 1], np.uint64), h)
-                while len(by_length) <= k:
-                    by_length.append({})
-                by_length[k].setdefault(int(h[0]), -1)
-            by_length[len(p.piece) - 1][int(h[0])] = i
+            known[p.piece] = i
     if (byte_ids < 0).any():
         raise ValueError("the model has no byte pieces")
-    prefixes = []
-    for known in by_length:
-        keys = np.array(sorted(known), np.uint64)
-        prefixes.append((keys, np.array([known[int(k)] for k in keys], np.int32)))
+    prefixes, above = [], {"": 0}
+    for k in range(1, max(map(len, known), default=0) + 1):
+        made = {p[:k] for p in known if len(p) >= k}
+        keys = sorted((above[p[:-1]] << CODE_BITS | ord(p[-1]), p) for p in made)
+        above = {p: at for at, (_, p) in enumerate(keys)}
+        prefixes.append((np.array([x for x, _ in keys], np.int64), np.array([known.get(p, -1) for _, p in keys], np.int32)))
     return Model(pieces, weights, byte_ids, prefixes, bytes_of)
 
 
+def codes_of(text: str) -> np.ndarray:
+    """Code points, as the lattice has them."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.where(codes == SPACE, LITERAL, np.where(codes == 0x20, SPACE, codes))
+
+
+def arcs_of(codes: np.ndarray, left: np.ndarray, model: Model) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length from 1 on: where pieces begin, and which. left: code points to each one's word's end. A code point without a piece gets the fallback."""
+    at, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+    for k, (keys, ids) in enumerate(model.prefixes):
+        inside = left[at] > k
+        at, node = at[inside], node[inside]
+        key = node << CODE_BITS | codes[at + k]
+        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        known = keys[place] == key
+        piece = ids[place]
+        if k == 0:
+            own = np.where(known, piece, -1)
+            yield at, np.where(own < 0, model.fallback, own)
+        else:
+            ends = known & (piece >= 0)
+            yield at[ends], piece[ends]
+        at, node = at[known], place[known]
+
+
 @dataclass
 class Lattice:
-    """Of some distinct words: for each node (a word's places 0 to its length) the pieces that end there, by length, and their summed shares."""
+    """Of some distinct words: for each node (a word's places 0 to its length) the pieces that end there, by length.
+
+    upto: a node's number and the share of its pieces up to this one, so that one search finds a draw's piece.
+    """
 
     codes: np.ndarray
     first: np.ndarray
     lengths: np.ndarray
+    begin: np.ndarray
     piece: np.ndarray
-    share: np.ndarray
+    size: np.ndarray
+    upto: np.ndarray
 
 
 def lattice(words: list[str], model: Model) -> Lattice:
+    """Of words of up to LONG code points."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    codes = np.where(codes == SPACE, LITERAL, np.where(codes == 0x20, SPACE, codes))
+    codes = codes_of("".join(words))
     starts = np.cumsum(lengths) - lengths
     first = starts + np.arange(len(words))
     left = np.repeat(starts + lengths, lengths) - np.arange(len(codes))
     node = np.arange(len(codes)) + np.repeat(np.arange(len(words)), lengths)
-    longest = len(model.prefixes)
-    piece = np.full((longest, len(codes) + len(words)), -1, np.int32)
-    at, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
-    for k, (keys, ids) in enumerate(model.prefixes):
-        inside = left[at] > k
-        at, h = at[inside], h[inside]
-        h = _hash((codes[at + k] + 1).astype(np.uint64), h)
-        place = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        known = keys[place] == h
-        at, h, place = at[known], h[known], place[known]
-        piece[k, node[at] + k + 1] = ids[place]
-        if k == 0:
-            alone = piece[0, node + 1] < 0
-            piece[0, node[alone] + 1] = model.fallback
-    share = np.zeros(piece.shape, np.float32)
+    n = len(codes) + len(words)
+    found = [(node[at] + k + 1, ids) for k, (at, ids) in enumerate(arcs_of(codes, left, model))]
+    many = np.zeros(n, np.int64)
+    for nodes, _ in found:
+        many[nodes] += 1
+    begin = np.concatenate([[0], np.cumsum(many)])
+    piece, size, filled = np.zeros(begin[-1], np.int32), np.zeros(begin[-1], np.int8), begin[:-1].copy()
+    for k, (nodes, ids) in enumerate(found):
+        place = filled[nodes]
+        piece[place], size[place] = ids, k + 1
+        filled[nodes] += 1
+    weight, upto, alpha = model.weights[piece], np.zeros(begin[-1]), np.zeros(n)
+    alpha[first] = 1.0
     order = np.argsort(-lengths, kind="stable")
-    order = order[lengths[order] <= LONG]
     ends = np.searchsorted(-lengths[order], -np.arange(1, LONG + 1), "right")
-    alpha = np.zeros(piece.shape[1])
-    alpha[first] = 1.0
     for t in range(1, LONG + 1):
         nodes = first[order[: ends[t - 1]]] + t
         if not len(nodes):
             break
-        sums = np.zeros(len(nodes))
-        terms = []
-        for k in range(min(t, longest)):
-            sums = sums + alpha[nodes - k - 1] * model.weights[piece[k, nodes]]
-            terms.append(sums)
+        place, stop, sums = begin[nodes], begin[nodes + 1], np.zeros(len(nodes))
+        live = np.arange(len(nodes))
+        while len(live):
+            p = place[live]
+            sums[live] += alpha[nodes[live] - size[p]] * weight[p]
+            upto[p] = sums[live]
+            place[live] += 1
+            live = live[place[live] < stop[live]]
         alpha[nodes] = sums
-        for k, v in enumerate(terms):
-            share[k, nodes] = v / sums
-        share[len(terms):, nodes] = 1.0
-    for w in np.flatnonzero(lengths > LONG):
-        own = np.arange(first[w] + 1, first[w] + lengths[w] + 1)
-        weight = model.weights[piece[:, own]].T.copy()
-        before = np.zeros(longest)
-        before[0] = 1.0
-        for t, row in enumerate(weight):
-            total = np.cumsum(before * row)
-            share[:, own[t]] = total / total[-1]
-            before[1:] = before[:-1] / total[-1]
-            before[0] = 1.0
-    return Lattice(codes, first, lengths, piece, share)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    owner = np.repeat(np.arange(n), many)
+    return Lattice(codes, first, lengths, begin, piece, size, owner + upto / alpha[owner])
+
+
+def draws(seeds: np.ndarray, step: int | np.ndarray) -> np.ndarray:
+    """Numbers from 0 to under 1 for the step-th pieces from the end."""
+    return (mix(seeds + np.asarray(step).astype(np.uint64) * _G) >> np.uint64(32)).astype(np.float64) / (1 << 32)
 
 
 def sample(lat: Lattice, word: np.ndarray, seeds: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -184,17 +200,10 @@ def sample(lat: Lattice, word: np.ndarray, seeds: np.ndarray, model: Model) -> t
     s = 0
     while len(who):
         s += 1
-        u = ((mix(seeds[who] + np.uint64(s * int(_G) & (1 << 64) - 1)) >> np.uint64(40)).astype(np.float64) / (1 << 24)).astype(np.float32)
-        size = np.ones(len(who), np.int64)
-        more = np.arange(len(who))
-        for k in range(lat.share.shape[0] - 1):
-            more = more[u[more] >= lat.share[k, at[more]]]
-            if not len(more):
-                break
-            size[more] += 1
-        ids = lat.piece[size - 1, at].astype(np.int64)
-        steps.append((who, ids, at))
-        at = at - size
+        hit = np.searchsorted(lat.upto, at + draws(seeds[who], s), "right")
+        hit = np.minimum(np.maximum(hit, lat.begin[at]), lat.begin[at + 1] - 1)
+        steps.append((who, lat.piece[hit].astype(np.int64), at))
+        at = at - lat.size[hit]
         go_on = at > first[who]
         who, at = who[go_on], at[go_on]
     if not steps:
@@ -209,45 +218,127 @@ def sample(lat: Lattice, word: np.ndarray, seeds: np.ndarray, model: Model) -> t
     if not len(bare):
         return ids, many
     owner = np.repeat(np.arange(n), many)
-    codes = lat.codes[nodes[bare] - 1 - word[owner[bare]]]
-    codes = np.where(codes == LITERAL, SPACE, codes)
-    raw = [chr(c).encode("utf-8", "surrogatepass") for c in codes.tolist()]
+    ids, wide = spelled_out(ids, bare, lat.codes[nodes[bare] - 1 - word[owner[bare]]], model)
+    return ids, np.bincount(np.repeat(owner, wide), minlength=n)
+
+
+def spelled_out(ids: np.ndarray, bare: np.ndarray, codes: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """ids with byte pieces in the places bare, whose code points are given; and how many pieces stand for each."""
+    raw = [chr(c).encode("utf-8", "surrogatepass") for c in np.where(codes == LITERAL, SPACE, codes).tolist()]
     wide = np.ones(len(ids), np.int64)
     wide[bare] = [len(r) for r in raw]
     out = np.repeat(ids, wide)
     ends = np.cumsum(wide)
-    fill = np.concatenate([np.arange(e - k, e) for e, k in zip(ends[bare], wide[bare], strict=True)]) if (wide[bare] > 1).any() else ends[bare] - 1
+    fill = np.concatenate([np.arange(e - k, e) for e, k in zip(ends[bare], wide[bare], strict=True)]) if len(bare) else bare
     out[fill] = model.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
-    return out, np.bincount(np.repeat(owner, wide), minlength=n)
+    return out, wide
+
+
+def _chunk(codes: np.ndarray, start: int, end: int, before: list[float], model: Model) -> tuple[list[int], list[int], list[int], list[float], list[float]]:
+    """Of the nodes start + 1 to end of a long word: where each one's pieces begin in the lists, the pieces, their sizes, their summed weights; and the last nodes' sums for the next chunk."""
+    longest = len(model.prefixes)
+    low = max(0, start - longest + 1)
+    near = codes[low:end]
+    found = [(low + at + k + 1, ids) for k, (at, ids) in enumerate(arcs_of(near, len(near) - np.arange(len(near)), model))]
+    nodes, pieces, sizes = np.concatenate([n for n, _ in found]), np.concatenate([i for _, i in found]), np.repeat(np.arange(1, len(found) + 1), [len(i) for _, i in found])
+    order = np.flatnonzero(nodes > start)
+    order = order[np.argsort(nodes[order], kind="stable")]
+    begin = np.searchsorted(nodes[order], np.arange(start + 1, end + 2)).tolist()
+    pieces, sizes = pieces[order], sizes[order].tolist()
+    weight, upto, a = model.weights[pieces].tolist(), [], list(before)
+    for t in range(end - start):
+        s = 0.0
+        for p in range(begin[t], begin[t + 1]):
+            s += a[-sizes[p]] * weight[p]
+            upto.append(s)
+        a.append(s)
+        if t % 16 == 15:
+            a = [x / s for x in a[-longest:]]
+    s = a[-1]
+    return begin, pieces.tolist(), sizes, upto, [x / s for x in a[-longest:]]
+
+
+def sample_long(word: str, seed: int, model: Model) -> np.ndarray:
+    """Piece ids of one word of any length."""
+    codes = codes_of(word)
+    starts = list(range(0, len(codes), CHUNK))
+    sums = [[0.0] * (len(model.prefixes) - 1) + [1.0]]
+    for start in starts[:-1]:
+        sums.append(_chunk(codes, start, start + CHUNK, sums[-1], model)[-1])
+    seeds, at, ids, places, step, u = np.array([seed], np.uint64), len(codes), [], [], 0, []
+    for start, before in zip(reversed(starts), reversed(sums), strict=True):
+        begin, pieces, sizes, upto, _ = _chunk(codes, start, min(start + CHUNK, len(codes)), before, model)
+        while at > start:
+            if not u:
+                u = draws(seeds, np.arange(step + 1, step + 4097))[::-1].tolist()
+                step += 4096
+            i, j = begin[at - start - 1], begin[at - start]
+            hit = min(bisect_right(upto, u.pop() * upto[j - 1], i, j), j - 1)
+            ids.append(pieces[hit])
+            places.append(at - 1)
+            at -= sizes[hit]
+    ids, places = np.array(ids[::-1], np.int64), np.array(places[::-1], np.int64)
+    bare = np.flatnonzero(ids == model.fallback)
+    return spelled_out(ids, bare, codes[places[bare]], model)[0] if len(bare) else ids
+
+
+class Places(dict):
+    """word -> its number, by first use."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = len(self)
+        return at
+
+
+def drawn(flat: list[str], seeds: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of words in a row, and how many each has."""
+    places = Places()
+    number = np.fromiter(map(places.__getitem__, flat), np.int64, len(flat))
+    words = list(places)
+    short = np.fromiter((len(w) <= LONG for w in words), bool, len(words))
+    if short.all():
+        return sample(lattice(words, model), number, seeds, model)
+    own = np.cumsum(short) - 1
+    long = ~short[number]
+    ids, many = sample(lattice([w for w in words if len(w) <= LONG], model), own[number[~long]], seeds[~long], model)
+    alone = [sample_long(flat[i], int(seeds[i]), model) for i in np.flatnonzero(long)]
+    each = np.zeros(len(flat), np.int64)
+    each[~long], each[long] = many, [len(x) for x in alone]
+    out, of_long = np.zeros(int(each.sum()), np.int64), np.repeat(long, each)
+    out[~of_long], out[of_long] = ids, np.concatenate(alone)
+    return out, each
 
 
 def encode_texts(texts: list[str | None], keys: list[object], model: Model, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts in a row, and how many each has."""
     from xxhash import xxh64_intdigest
 
-    flat, counts = [], np.zeros(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        if t:
-            found = SEGMENT.findall(" " + t)
-            counts[i] = len(found)
-            flat += found
-    if not flat:
-        return np.zeros(0, np.int64), counts
+    flat, doc, turn, out = [], [], [], [np.zeros(0, np.int64)]
+    each = np.zeros(len(texts), np.int64)
+    own = np.array([xxh64_intdigest(repr((seed, k)).encode()) for k in keys], np.uint64)
 
-    class Places(dict):
-        def __missing__(self, word: str) -> int:
-            self[word] = at = len(self)
-            return at
+    def flush() -> None:
+        if flat:
+            d, t = np.concatenate(doc), np.concatenate(turn)
+            ids, many = drawn(flat, mix(own[d] + t.astype(np.uint64) * _G), model)
+            np.add.at(each, d, many)
+            out.append(ids.astype(np.int32))
+            flat.clear(), doc.clear(), turn.clear()
 
-    places = Places()
-    word = np.fromiter(map(places.__getitem__, flat), np.int64, len(flat))
-    own = np.array([xxh64_intdigest(repr((seed, k)).encode()) for k in keys], np.uint64)
-    doc = np.repeat(np.arange(len(texts)), counts)
-    turn = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
-    ids, many = sample(lattice(list(places), model), word, mix(own[doc] + turn.astype(np.uint64) * _G), model)
-    each = np.zeros(len(texts), np.int64)
-    np.add.at(each, doc, many)
-    return ids, each
+    for i, t in enumerate(texts):
+        if t:
+            found, begun = (m.group() for m in SEGMENT.finditer(" " + t)) if len(t) > BYTES_AT_ONCE else SEGMENT.findall(" " + t), 0
+            while some := list(islice(found, SEGMENTS_AT_ONCE)) if len(t) > BYTES_AT_ONCE else found:
+                flat.extend(some)
+                doc.append(np.full(len(some), i))
+                turn.append(np.arange(begun, begun + len(some)))
+                begun += len(some)
+                if len(flat) >= SEGMENTS_AT_ONCE:
+                    flush()
+                if len(t) <= BYTES_AT_ONCE:
+                    break
+    flush()
+    return np.concatenate(out), each
 
 
 def _list(ids: np.ndarray, each: np.ndarray, null: np.ndarray) -> pa.Array:

@@ -67,6 +67,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.reply_order(table(spark, sf_dir, "conversations"))
 
 
+def chat_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The supplied conversations quote nothing, so here they are made to, by a rule."""
+    return chat.reply_order(chat.quoting(table(spark, sf_dir, "conversations")))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licence_scan": op8_licence_scan,
     "op9_chat_format": op9_chat_format,
     "op10_topk": op10_topk,
+    "chat_quotations": chat_quotations,
 }
 
 _STOP = ", ".join(f"'{form}'" for form in sorted({form for ws in quality.STOP_WORDS.values() for w in ws for form in (w, w.capitalize())}))
@@ -104,11 +110,35 @@ f AS (SELECT a.rid, doc_id, lang, len(w)::BIGINT n_words,
         len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) n_alpha
       FROM a LEFT JOIN r USING (rid)),
 v AS (SELECT *, n_words < {quality.BASE_LEAST_WORDS} OR 100 * n_repeat_words > {quality.BASE_MOST_REPEATED} * n_words base_failed FROM f),
-judged AS (SELECT *, NOT base_failed AND n_words <= 100000 AND word_chars / n_words BETWEEN 2.0 AND 14.0 AND n_symbols / n_words <= 0.1
+judged AS (SELECT *, NOT base_failed AND word_chars / n_words BETWEEN 2.0 AND 14.0 AND n_symbols / n_words <= 0.1
         AND (coalesce(lang, '') NOT IN ('en', 'fr', 'de', 'es') OR stop_words >= 2) AND n_dup_lines / n_lines <= 0.5
         AND n_ellipsis / n_lines <= 0.3 AND n_bullets / n_lines <= 0.9 AND n_alpha / n_words >= 0.6 kept FROM v)
 """
 
+
+
+def _chat(source: str, made: str = "") -> str:
+    """Replies in the conversations of a relation."""
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+WITH RECURSIVE {made}
+c AS (SELECT * FROM {source}),
+x AS (SELECT conv_id, turn, string_split(text, chr(10)) lines FROM c WHERE text IS NOT NULL),
+y AS (SELECT conv_id, turn, list_transform(lines, lambda l: {{'lev': length(regexp_replace(regexp_extract(l, '^[ \t]*>[> \t]*'), '[^>]', '', 'g')), 't': regexp_replace(l, '^[ \t]*>[> \t]*', '')}}) ls FROM x),
+z AS (SELECT conv_id, turn, ls, unnest(range(list_max(list_transform(ls, lambda l: l.lev)) + 1)) lev FROM y),
+b AS (SELECT conv_id, turn, lev, unnest(string_split_regex(array_to_string(list_transform(ls, lambda l: CASE WHEN l.lev = lev THEN l.t ELSE '' END), chr(10)), '\n[\x20\x09-\x0D]*\n')) p FROM z),
+q AS (SELECT conv_id, turn, lev, unnest(string_split(regexp_replace(p, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), chr(1))) p FROM b),
+n AS (SELECT conv_id, turn, lev, trim(regexp_replace({low.format('p')}, '[\x20\x09-\x0D]+', ' ', 'g')) p FROM q),
+o AS (SELECT conv_id, p, min(turn) origin FROM n WHERE lev = 0 AND p <> '' GROUP BY ALL),
+v AS (SELECT n.conv_id, n.turn, n.lev, o.origin, sum(length(n.p)) size FROM n JOIN o USING (conv_id, p) WHERE lev > 0 AND origin < n.turn GROUP BY ALL),
+r AS (SELECT conv_id, turn, max((-lev, size, origin)) best FROM v GROUP BY ALL),
+m AS (SELECT DISTINCT c.conv_id, c.turn, best[3] parent, (-best[1])::INTEGER parent_level FROM c LEFT JOIN r USING (conv_id, turn)),
+t AS (SELECT conv_id, turn, turn root_turn, 0::BIGINT depth FROM m WHERE parent IS NULL
+      UNION ALL SELECT m.conv_id, m.turn, t.root_turn, t.depth + 1 FROM m JOIN t ON m.conv_id = t.conv_id AND m.parent = t.turn)
+SELECT c.conv_id, c.turn, c.role, array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^[ \t]*>')), chr(10)) AS text,
+       m.parent parent_turn, m.parent_level, t.root_turn, t.depth FROM c JOIN m USING (conv_id, turn) JOIN t USING (conv_id, turn)"""
+
+
 ORACLES: dict[str, str] = {
     "op2_warc": """
 WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT payload_bytes, sha1(coalesce(html, '')) payload_digest FROM pages),
@@ -124,7 +154,8 @@ l AS (SELECT rid, doc_id, unnest(string_split(text, chr(10))) x, unnest(range(le
 s AS (SELECT rid, doc_id, i, regexp_replace(regexp_replace(x, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '') x FROM l),
 c AS (SELECT *, len(string_split_regex(x, '[\x20\x09-\x0D]+')) n FROM s WHERE x <> ''),
 t AS (SELECT *, sum(n) OVER (PARTITION BY rid ORDER BY i) upto FROM c),
-e AS (SELECT a.rid, a.doc_id, a.i, min(b.i) till FROM t a JOIN t b ON a.rid = b.rid AND b.i >= a.i AND b.upto - a.upto + a.n >= {linededup.LEAST_WORDS} GROUP BY ALL),
+e AS (SELECT a.rid, a.doc_id, a.i, min(b.i) till FROM t a JOIN t b ON a.rid = b.rid AND b.i >= a.i AND b.upto - a.upto + a.n >= {linededup.LEAST_WORDS} GROUP BY ALL
+      UNION SELECT b.rid, b.doc_id, max(a.i), b.i FROM t a JOIN t b ON a.rid = b.rid AND b.i >= a.i AND b.upto - a.upto + a.n >= {linededup.LEAST_WORDS} GROUP BY ALL),
 w AS (SELECT e.rid, e.doc_id, e.i, e.till, string_agg(t.x, chr(10) ORDER BY t.i) k FROM e JOIN t ON e.rid = t.rid AND t.i BETWEEN e.i AND e.till GROUP BY ALL),
 f AS (SELECT *, first_value((rid, i, till)) OVER (PARTITION BY k ORDER BY doc_id, i) o FROM w),
 g AS (SELECT rid, CASE WHEN rid = o[1] THEN greatest(i, o[3] + 1) ELSE i END i, till FROM f WHERE (rid, i) <> (o[1], o[2])),
@@ -137,16 +168,13 @@ p AS (SELECT q.vec_id query_id, e.vec_id neighbour_id, len(list_filter(list_zip(
       FROM e q JOIN e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id)::INTEGER rank, neighbour_id, distance FROM p
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) <= {topk.K}""",
-    "op9_chat_format": r"""
-WITH RECURSIVE l AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) x FROM conversations),
-n AS (SELECT conv_id, turn, length(regexp_replace(regexp_extract(x, '^[ \t]*>[> \t]*'), '[^>]', '', 'g')) lev,
-        trim(regexp_replace(lower(regexp_replace(x, '^[ \t]*>[> \t]*', '')), '[\x20\x09-\x0D]+', ' ', 'g')) p FROM l),
-o AS (SELECT conv_id, p, min(turn) origin FROM n WHERE lev = 0 AND p <> '' GROUP BY ALL),
-v AS (SELECT n.conv_id, n.turn, o.origin, sum(length(n.p)) size FROM n JOIN o USING (conv_id, p) WHERE lev = 1 AND origin < n.turn GROUP BY ALL),
-r AS (SELECT conv_id, turn, max((size, origin))[2] parent FROM v GROUP BY ALL),
-m AS (SELECT DISTINCT c.conv_id, c.turn, r.parent FROM conversations c LEFT JOIN r USING (conv_id, turn)),
-t AS (SELECT conv_id, turn, turn root_turn, 0::BIGINT depth FROM m WHERE parent IS NULL
-      UNION ALL SELECT m.conv_id, m.turn, t.root_turn, t.depth + 1 FROM m JOIN t ON m.conv_id = t.conv_id AND m.parent = t.turn)
-SELECT c.conv_id, c.turn, c.role, array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT regexp_matches(x, '^[ \t]*>')), chr(10)) AS text,
-       m.parent parent_turn, t.root_turn, t.depth FROM conversations c JOIN m USING (conv_id, turn) JOIN t USING (conv_id, turn)""",
+    "op9_chat_format": _chat("conversations"),
+    "chat_quotations": _chat("quoting", r"""
+said AS (SELECT conv_id, turn, min(text) said FROM conversations GROUP BY ALL),
+rule AS (SELECT *, (conv_id + turn) % 3 r FROM conversations),
+flat AS (SELECT rule.* EXCLUDE (r), regexp_replace(a.said, '[\x20\x09-\x0D]+', ' ', 'g') one, regexp_replace(b.said, '[\x20\x09-\x0D]+', ' ', 'g') two FROM rule
+  LEFT JOIN said a ON a.conv_id = rule.conv_id AND a.turn = CASE WHEN r = 0 THEN rule.turn - 1 WHEN r = 1 AND rule.turn > 0 THEN 0 END
+  LEFT JOIN said b ON b.conv_id = rule.conv_id AND b.turn = CASE WHEN r = 0 THEN rule.turn - 2 END),
+quoting AS (SELECT * EXCLUDE (one, two) REPLACE (CASE WHEN text IS NOT NULL THEN concat_ws(chr(10), '> > ' || regexp_replace(two, '(.{24,}?) ', '\1' || chr(10) || '> > ', 'g'),
+  '> ' || regexp_replace(one, '(.{24,}?) ', '\1' || chr(10) || '> ', 'g'), text) END AS text) FROM flat),"""),
 }

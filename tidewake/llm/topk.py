@@ -1,95 +1,94 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector's code has 64 bits; bit j is the sign of the sum of its dimensions i with
-i % 64 == j. Codes are cut into segments, and codes with equal segments share a
-bucket. Round s looks into the buckets whose segment differs from the query's in just
-s bits, for all segments. All codes within segments * (s + 1) - 1 bits have then been
+A vector's code has one bit for each dimension: whether it is over zero. Dimensions that a
+shorter vector lacks count as not. Codes are cut into segments of WIDTH bits, and codes with equal segments
+share a bucket. Round s looks into the buckets whose segment differs from the query's in
+just s bits, for all segments. All codes within segments * (s + 1) - 1 bits have then been
 seen, so a query is done when its k-th verified distance is at most that. A pair is
 taken only from the first bucket in which it shows up, so none is seen twice.
 
 Equal codes are searched for once, with their smallest ids (k + 1 of them, as a
-query is not its own neighbour); so groups of copies neither fill buckets nor drop out.
-Ties go by id. Vectors that are null, empty or have a null dimension have no code: they are
-neither found nor answered. Repeated ids are found once each time they occur. Other
-columns are ignored. With fewer than k others, all are returned.
+query is not its own neighbour); so groups of copies neither fill buckets nor drop out. Buckets
+with more than BUCKET_CODES codes are dealt out by salt, and probes into them go to each part: at most
+segments * codes / BUCKET_CODES buckets, but no more than all segment values. Probes are spread by query before they multiply.
+
+Ties go by id, of whatever type that can be sorted. Vectors that are null, empty or have a null dimension have no
+code: they are neither found nor answered; nor are rows with a null id. Repeated ids are found once each time they occur. Other
+columns are ignored, so none can clash. With fewer than k others, all are returned. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewake.llm.common import stored
+from tidewake.llm.common import attach, discard, spread, stored
 
-SEGMENTS = 4
 WIDTH = 16
 K = 10
+#: Codes to a part of a bucket.
+BUCKET_CODES = 2000
 
 
-def code(vector: Column) -> Column:
-    """The 64-bit code of an array column, or null."""
-    whole = F.when((F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull()), vector)
-    bits = F.lit(0).cast("long")
-    for j in range(64):
-        own = F.aggregate(F.filter(whole, lambda x, i, j=j: i % 64 == j), F.lit(0.0), lambda a, x: a + x.cast("double"))
-        bits = bits.bitwiseOR(F.when(own > 0, F.lit(1 << j if j < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")))
-    return F.when(whole.isNotNull(), bits)
-
-
-def sign_code(vector: Column, dimensions: int) -> Column:
-    """code() of vectors with at most 64 dimensions, in one pass over each."""
-    if dimensions > 64:
-        return code(vector)
+def code(vector: Column, segments: int) -> Column:
+    """The code of an array column, as an array of whole numbers of WIDTH bits each; or null."""
     whole = F.when((F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull()), vector)
-    bit = F.transform(whole, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(bit, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
-
-
-def _segment(c: Column, j: int) -> Column:
-    return F.shiftrightunsigned(c, j * WIDTH).bitwiseAND(F.lit((1 << WIDTH) - 1)).cast("int")
+    bit = F.transform(whole, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1), i % WIDTH)).otherwise(F.lit(0)))
+    part = lambda j: F.aggregate(F.slice(bit, j * WIDTH + 1, WIDTH), F.lit(0), lambda a, b: a.bitwiseOR(b))
+    return F.when(whole.isNotNull(), F.array(*[part(j) for j in range(segments)]))
 
 
-def _differ(a: Column, b: Column, j: int) -> Column:
-    return F.bit_count(_segment(a, j).bitwiseXOR(_segment(b, j)))
+def distance(a: Column, b: Column) -> Column:
+    """Differing bits of two codes."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
 
 
 def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
     """(query_id, rank, neighbour_id, distance): the k nearest others of each query row."""
-    dimensions = vectors.select(F.max(F.size(vector))).first()[0] or 0
-    rows = vectors.select(F.col(id_col).alias("id"), sign_code(F.col(vector), dimensions).alias("code"), F.coalesce(is_query, F.lit(False)).alias("asks")).where("code IS NOT NULL")
+    spark = vectors.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dimensions = vectors.select(F.max(F.size(vector))).first()[0] or 1
+    segments = max(1, -(-dimensions // WIDTH))
+    rows = vectors.select(F.col(id_col).alias("id"), code(F.col(vector), segments).alias("code"), F.coalesce(is_query, F.lit(False)).alias("asks")).where("code IS NOT NULL AND id IS NOT NULL")
     rows = stored(rows, "codes")
-    total = rows.count()
+    kind, total = rows.schema["id"].dataType.simpleString(), rows.count()
     smallest = rows.withColumn("r", F.row_number().over(Window.partitionBy("code").orderBy("id"))).where(F.col("r") <= k + 1)
     codes = smallest.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    index = stored(codes.select("code", "ids", F.explode(F.array(*[F.struct(F.lit(j).alias("j"), _segment(F.col("code"), j).alias("part")) for j in range(SEGMENTS)])).alias("s")).select("s.j", "s.part", "code", "ids"), "index")
-    asked = rows.where("asks").select(F.col("code").alias("q")).distinct()
-    pending, done = asked.withColumn("found", F.array().cast("array<struct<distance:int,id:bigint>>")), None
-    pending = stored(pending, "pending")
+    index = stored(codes.select("code", "ids", F.posexplode("code").alias("j", "part")), "index")
+    full = index.groupBy("j", "part").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_CODES).select("j", "part", F.ceil(F.col("n") / BUCKET_CODES).cast("int").alias("salts"))
+    full = F.broadcast(stored(full, "full"))  # bounded: see above
+    index = index.join(full, ["j", "part"], "left").select("j", "part", "code", "ids", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("code"), F.col("salts"))).otherwise(0).cast("int").alias("salt"))
+    empty = F.array().cast(f"array<struct<distance:int,id:{kind}>>")
+    asked = rows.where("asks").groupBy(F.col("code").alias("q")).agg(F.count("*").alias("n"))
+    pending, done = stored(asked.select("q", empty.alias("found")), "pending"), []
     for s in range(WIDTH + 1):
         masks = F.array(*[F.lit(sum(1 << b for b in c)) for c in combinations(range(WIDTH), s)]) if s < 4 else F.filter(F.sequence(F.lit(0), F.lit((1 << WIDTH) - 1)), lambda m: F.bit_count(m) == s)
-        probes = pending.select("q", F.explode(F.array(*[F.struct(F.lit(j).alias("j"), _segment(F.col("q"), j).alias("own")) for j in range(SEGMENTS)])).alias("p"), masks.alias("masks"))
-        probes = probes.select("q", F.col("p.j").alias("j"), F.col("p.own").alias("own"), F.explode("masks").alias("mask")).select("q", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
-        hits = probes.hint("merge").join(index, ["j", "part"])  # an explosion looks as small as what explodes, and would be broadcast
-        first = F.lit(True)
-        for j in range(SEGMENTS):
-            d = _differ(F.col("q"), F.col("code"), j)
-            first = first & F.when(F.col("j") > j, d > s).when(F.col("j") < j, d >= s).otherwise(F.lit(True))
-        seen = hits.where(first).select("q", F.bit_count(F.col("q").bitwiseXOR(F.col("code"))).alias("distance"), F.explode("ids").alias("id"))
-        before = pending.select("q", F.explode("found").alias("f")).select("q", "f.distance", "f.id")
-        best = seen.union(before).withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("distance", "id"))).where(F.col("r") <= k + 1)
+        spread_out = pending.select("q", F.posexplode("q").alias("j", "own")).repartition(tasks, "q", "j")
+        probes = spread_out.select("q", "j", "own", F.explode(masks).alias("mask")).select("q", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
+        probes = probes.join(full, ["j", "part"], "left").select("q", "j", "part", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+        hits = probes.hint("merge").join(index, ["j", "part", "salt"])  # an explosion looks as small as what explodes, and would be broadcast
+        differ = F.zip_with("q", "code", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        before = F.forall(F.slice(differ, 1, F.col("j")), lambda d: d > s)
+        after = F.forall(F.slice(differ, F.col("j") + 2, segments), lambda d: d >= s)
+        seen = hits.where(before & after).select("q", distance(F.col("q"), F.col("code")).alias("distance"), F.explode("ids").alias("id"))
+        known = pending.select("q", F.explode("found").alias("f")).select("q", "f.distance", "f.id")
+        best = seen.union(known).withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("distance", "id"))).where(F.col("r") <= k + 1)
         best = best.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("found"))
-        now = pending.select("q").join(best, "q", "left").select("q", F.coalesce("found", F.array().cast("array<struct<distance:int,id:bigint>>")).alias("found"))
-        now = stored(now, "pending").withColumn("sure", (F.size("found") >= min(k + 1, total)) & (F.coalesce(F.array_max("found")["distance"], F.lit(65)) <= SEGMENTS * (s + 1) - 1))
-        sure = now.where("sure").drop("sure")
-        done = sure if done is None else done.union(sure)
-        pending = now.where("not sure").drop("sure")
+        now = pending.select("q").join(best, "q", "left").select("q", F.coalesce("found", empty).alias("found"))
+        sure = (F.size("found") >= min(k + 1, total)) & (F.coalesce(F.array_max("found")["distance"], F.lit(segments * WIDTH + 1)) <= segments * (s + 1) - 1)
+        now = stored(now.withColumn("sure", sure), "pending")
+        discard(pending)
+        done.append(now.where("sure" if s < WIDTH else "true").drop("sure"))
+        pending = stored(now.where("not sure").drop("sure"), "pending")
         if pending.isEmpty():
             break
-    done = done.union(pending)
-    others = rows.where("asks").select(F.col("id").alias("query_id"), "code").join(done, F.col("code") == F.col("q"))
+    out = reduce(DataFrame.union, done)
+    out = asked.join(out, "q")
+    others = attach(rows.where("asks").select(F.col("id").alias("query_id"), "code"), out.withColumnRenamed("q", "code"), "code", spread(F.col("query_id")), total)
     own = F.array_position(F.transform("found", lambda f: f["id"]), F.col("query_id"))
     others = others.withColumn("found", F.slice(F.filter("found", lambda f, i: i + 1 != own), 1, k))
     return others.select("query_id", F.posexplode("found").alias("rank", "f")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("f.id").alias("neighbour_id"), F.col("f.distance").alias("distance"))

@@ -1,22 +1,20 @@
-"""WARC archives: a writer through Spark's own sink and a splittable reader.
+"""WARC archives: a writer and a splittable reader.
 
-Writing: each record is one gzip member. A member ends with its length, low byte
-first, so the last byte of one under 2**24 bytes is zero; Spark's text sink puts
-this byte, as its line end, behind each member without it. So files reach any
-store that Spark writes to, by the sink's commit protocol, which survives lost
-executors. Records of 2**24 bytes or more are cut into several such members.
+Writing: a data source of Spark's. Each task writes one file, a warcinfo record and then
+one for each row, each record one gzip member whatever its length, below a folder that readers pass over. When all tasks have
+ended the driver moves the files that they named, so those of tasks that failed or ran twice never count.
 
 Reading: files are cut into byte ranges. A task looks for the gzip magic in its
-range, takes a candidate for a record if it decodes to a WARC header, reads on to
+range, takes a candidate for a record if it decodes to a WARC header and is followed by another member or the file's end, reads on to
 the record's end, even beyond the range, and goes on from there while records
-begin inside. Bytes are read through pyarrow's file systems, files listed through
-Hadoop's. A stored (not deflated) WARC member inside a payload cannot be told from
-a record if a range begins inside that payload.
+begin inside. Bytes are read and written through pyarrow's file systems, files listed through
+Hadoop's. A run of stored (not deflated) WARC members inside a payload may be taken for records
+if a range begins inside that payload.
 
 Null html is an empty payload, a null url leaves WARC-Target-URI out, a row with a
 null page_id gets a record without a number and is always a response. Of rows with
 the same largest page_id and payload, all are responses. An empty table makes an
-archive without records. Other columns are ignored.
+archive without records of pages. A payload is held by one task, however long. Other columns are ignored, so none can clash.
 """
 
 from __future__ import annotations
@@ -24,18 +22,20 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from tidewake.llm.common import attach, shared_path, spread
 
 MAGIC = b"\x1f\x8b\x08"
 LEAST_BYTES = 1000
-MEMBER_BYTES = (1 << 24) - 1
 RANGE_BYTES = 16 << 20
 STEP = 1 << 17
 RECORD_URN = "urn:x-page:"
@@ -72,37 +72,90 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def members(data: bytes, level: int = 6) -> bytes:
-    """data as gzip members, each of under 2**24 bytes."""
-    out = []
-    for at in range(0, len(data), MEMBER_BYTES):
-        z = zlib.compressobj(level, zlib.DEFLATED, 31)
-        out += [z.compress(data[at : at + MEMBER_BYTES]), z.flush()]
-    return b"".join(out)
+def member(data: bytes, level: int = 6) -> bytes:
+    """data as one gzip member."""
+    z = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return z.compress(data) + z.flush()
 
 
-def write_warc(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z", least_bytes: int = LEAST_BYTES) -> None:
-    """Writes a record for each page to new files in the folder path."""
+def info(date: str) -> bytes:
+    """The record that a file begins with, not compressed."""
+    block = b"format: WARC File Format 1.1\r\n"
+    fields = [("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", date), ("Content-Type", "application/warc-fields"), ("Content-Length", str(len(block)))]
+    return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields).encode() + b"\r\n" + block + b"\r\n\r\n"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 500):
-                rows = zip(*(c.to_pylist() for c in b.slice(at, 500).columns), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([members(record(*r, date))[:-1] for r in rows], pa.binary())], names=["member"])
 
-    made = with_originals(pages, least_bytes).mapInArrow(run, "member binary")
-    made.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").text(path)
+def _store(uri: str) -> tuple:
+    """A file system of pyarrow's, and the place in it."""
+    from pyarrow import fs
 
+    if uri.startswith(("file:", "/")):
+        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
 
-def _open(uri: str):
-    from pyarrow import fs
 
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + uri[5:].lstrip("/"))
-    store, path = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+def _open(uri: str):
+    store, path = _store(uri)
     return store.open_input_file(path)
 
 
+@dataclass
+class Written(WriterCommitMessage):
+    name: str
+
+
+class WarcWriter(DataSourceArrowWriter):
+    """Files of records of rows (page_id, url, payload, payload_digest, refers_to)."""
+
+    def __init__(self, path: str, date: str):
+        self.path, self.date, self.job = path, date, f"_writing-{uuid.uuid4().hex}"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        from pyspark import TaskContext
+
+        store, path = _store(self.path)
+        name = f"part-{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}.warc.gz"
+        store.create_dir(f"{path}/{self.job}", recursive=True)
+        with store.open_output_stream(f"{path}/{self.job}/{name}", compression=None) as out:
+            out.write(member(info(self.date)))
+            for b in iterator:
+                for at in range(0, b.num_rows, 500):
+                    for row in zip(*(c.to_pylist() for c in b.slice(at, 500).columns), strict=True):
+                        out.write(member(record(*row, self.date)))
+        return Written(name)
+
+    def commit(self, messages: list[Written]) -> None:
+        store, path = _store(self.path)
+        for m in messages:
+            if m is not None:
+                store.move(f"{path}/{self.job}/{m.name}", f"{path}/{m.name}")
+        self.abort(messages)
+
+    def abort(self, messages: list[Written]) -> None:
+        from pyarrow import fs
+
+        store, path = _store(self.path)
+        if store.get_file_info(f"{path}/{self.job}").type != fs.FileType.NotFound:
+            store.delete_dir(f"{path}/{self.job}")
+
+
+class WarcSink(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "tidewake_warc"
+
+    def writer(self, schema, overwrite: bool) -> WarcWriter:
+        if overwrite:
+            raise ValueError("archives are only added to")
+        return WarcWriter(self.options["path"], self.options["date"])
+
+
+def write_warc(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z", least_bytes: int = LEAST_BYTES) -> None:
+    """Writes a record for each page to new files in the folder path."""
+    pages.sparkSession.dataSource.register(WarcSink)
+    with_originals(pages, least_bytes).write.format(WarcSink.name()).mode("append").option("date", date).save(path)
+
+
 def files(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """The files below path and their sizes, as Hadoop lists them."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -158,16 +211,16 @@ def decode(source: Bytes, at: int) -> tuple[bytes, dict[str, str], bytes, int] |
 
 def records_of(file, start: int, end: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """Place, fields and block of each record that begins in [start, end)."""
-    source, at = Bytes(file, start, end - start + STEP), start
+    source, at, sure = Bytes(file, start, end - start + STEP), start, start == 0
     while at < end:
         if source.get(at, 3) != MAGIC:
-            at = source.at + found if (found := source.held.find(MAGIC, at - source.at)) >= 0 else end
+            at, sure = (source.at + found if (found := source.held.find(MAGIC, at - source.at)) >= 0 else end), False
             continue
-        if (got := decode(source, at)) is None:
+        if (got := decode(source, at)) is None or not sure and not MAGIC.startswith(source.get(got[3], 3)):
             at += 1
             continue
         yield at, got[1], got[2]
-        at = got[3]
+        at, sure = got[3], True
 
 
 SCHEMA = "file string, offset bigint, record_type string, record_id string, target_uri string, warc_date string, refers_to string, payload_digest string, http_length bigint, payload binary"
@@ -215,7 +268,7 @@ def archived(pages: DataFrame) -> DataFrame:
     """pages, written to the shared folder as archives and read back."""
     path = shared_path(pages.sparkSession, "warc")
     write_warc(pages, path)
-    return read_warc(pages.sparkSession, path, payload=False)
+    return read_warc(pages.sparkSession, path, payload=False).where("record_type <> 'warcinfo'")
 
 
 def page_number(urn: F.Column) -> F.Column:
