@@ -1,10 +1,10 @@
 """A corpus pipeline over `documents`: each stage is written as Parquet and read back as the next one's input.
 
-Quality rules drop documents; line dedup rewrites texts (n_chars with them); of each
-SimHash group one document stays; mixing lays the rows out in the order of the mixture; the last
+Quality rules drop documents by ratios, whatever their length; line dedup rewrites texts (n_chars with them); of each
+group of documents whose five-word shingles have a similarity of 0.8 or more one stays; mixing lays the rows out in the order of the mixture; the last
 stage adds pieces and position, a row's number (from 0) in that order. Position comes from where
 a row lies in the files that are read back; it is null for rows that come from no file. Stages need doc_id, text, lang, source and n_chars, whose nulls, ties and
-repeats are treated as the operators' docstrings say.
+repeats are treated as the operators' docstrings say. A stage's files go when the next one's are written.
 """
 
 from __future__ import annotations
@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidewake.llm import linededup, mixing, pieces, quality, simhash
-from tidewake.llm.common import stored, table
+from tidewake.llm.common import discard, stored, table
 from tidewake.llm.queries import PIECES_MODEL, WEIGHTS
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs).select(*COLUMNS)
+    return quality.keep_good(docs, rules=quality.RATIOS, base=False).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(docs, WEIGHTS)
-    return mixing.in_order(mixed, int(spark.conf.get("spark.sql.shuffle.partitions"))).select(*COLUMNS)
+    return mixing.in_order(mixed).select(*COLUMNS)
 
 
 def positions(docs: DataFrame) -> DataFrame:
@@ -64,7 +64,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
