@@ -1,12 +1,11 @@
 """The pipeline's rows against a plain version: SQL for the rules and the line dedup, all pairs for SimHash."""
 
-import itertools
-
 import duckdb
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewake.llm import linededup, mixing, pieces, queries, simhash
+from tests.llm.test_operators import brute_similar
+from tidewake.llm import linededup, mixing, pieces, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -15,21 +14,20 @@ def plain_version():
     con = duckdb.connect()
     con.execute(f"CREATE TABLE numbered AS SELECT row_number() OVER () rid, * FROM '{SF}/documents.parquet'")
     con.execute(f"""CREATE TABLE documents AS WITH docs AS (SELECT rid, doc_id, lang, coalesce(text, '') t FROM numbered), {queries.QUALITY_SQL}
-        SELECT n.* EXCLUDE (rid) FROM numbered n JOIN judged USING (rid) WHERE kept""")
+        SELECT n.* EXCLUDE (rid) FROM numbered n JOIN judged USING (rid) WHERE n_words >= 1 AND 100 * n_repeat_words <= 50 * n_words AND word_chars / n_words BETWEEN 2.0 AND 14.0 AND n_symbols / n_words <= 0.1
+        AND n_dup_lines / n_lines <= 0.5 AND n_ellipsis / n_lines <= 0.3 AND n_bullets / n_lines <= 0.9 AND n_alpha / n_words >= 0.6""")
     rows = con.execute(f"SELECT o.doc_id, o.text FROM ({queries.ORACLES['op6_line_dedup']}) o").fetchall()
-    fps = {i: simhash.fingerprint(t.encode()) for i, t in rows}
-    root = {i: i for i in fps}
+    root = brute_similar(rows)
+    return {i: t for i, t in rows if root[i] == i}
 
-    def up(i):
-        while root[i] != i:
-            i = root[i]
-        return i
 
-    for a, b in itertools.combinations(sorted(fps), 2):
-        if (fps[a] ^ fps[b]).bit_count() <= simhash.MAX_DISTANCE:
-            x, y = sorted((up(a), up(b)))
-            root[y] = x
-    return {i: t for i, t in rows if up(i) == i}
+def test_clean_documents_stay():
+    """None of the documents labelled good, short ones included, is rejected by the quality stage's rules."""
+    con = duckdb.connect()
+    con.execute(f"""CREATE TABLE judged AS WITH docs AS (SELECT row_number() OVER () rid, doc_id, lang, coalesce(text, '') t FROM '{SF}/documents.parquet'), {queries.QUALITY_SQL} SELECT * FROM judged""")
+    good = "n_words >= 1 AND 100 * n_repeat_words <= 50 * n_words AND n_symbols / n_words <= 0.1 AND n_dup_lines / n_lines <= 0.5 AND n_alpha / n_words >= 0.6"
+    lost, many = con.execute(f"SELECT count(*) FILTER (WHERE NOT ({good})), count(*) FROM judged JOIN '{SF}/labels.parquet' USING (doc_id) WHERE quality = 1").fetchone()
+    assert many > 50 and lost <= 0.01 * many
 
 
 def test_run(spark):
@@ -65,8 +63,10 @@ def test_long_texts_are_cut_out_alone(spark):
 def test_rows_follow_the_schedule(spark, tmp_path):
     """Files of several sizes, which Spark does not read in the order of their names."""
     rows = [(i if i % 50 else None, "x " * (i % 7) * (1 + 300 * (i % 11 == 0)), "en", f"src{i % 4}" if i % 5 else None, 1) for i in range(4000)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumn("n_chars", F.monotonically_increasing_id()).localCheckpoint()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumn("n_chars", F.monotonically_increasing_id())
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or there is one file
     corpus_pipeline.mix(spark, docs, SF).write.parquet(str(tmp_path / "mixed"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     back = spark.read.parquet(str(tmp_path / "mixed"))
     assert back.select("_metadata.file_name").distinct().count() > 1
     out = sorted(corpus_pipeline.STAGES[-1][1](spark, back, SF).collect(), key=lambda r: r.position)

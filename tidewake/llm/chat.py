@@ -3,7 +3,7 @@
 A line that begins with > signs (blanks between them allowed) is a quotation; their
 number is its level, 0 for a message's own lines. Lines of one level that follow each other are a block, and a blank line ends
 it. A block is reflowed into one line, so that it doesn't matter where a mailer broke it, and cut into
-sentences. Each sentence is a passage, normalised (ASCII lower case, white space collapsed) and
+sentences. Each sentence, and each line as it stands, is a passage, normalised (ASCII lower case, white space collapsed) and
 hashed. Its original is the first message of the same conversation that has it at level 0, if that is an earlier turn.
 
 A message replies to the original of most characters of its passages at the lowest level that has any
@@ -37,12 +37,12 @@ def level(line: Column) -> Column:
 
 
 def passages_at(lines: Column, depth: Column) -> Column:
-    """The sentences of the blocks of one level, with their level; other lines end a block."""
+    """The distinct sentences of the blocks of one level, and its lines, with their level; other lines end a block."""
     own = F.transform(lines, lambda x: F.when(level(x) == depth, F.regexp_replace(x, QUOTED, "")).otherwise(F.lit("")))
     blocks = F.split(F.array_join(own, "\n"), WHITE_LINE)
     sentences = F.flatten(F.transform(blocks, lambda b: F.split(b, SENTENCE_END)))
-    normal = F.transform(sentences, lambda x: F.trim(F.regexp_replace(ascii_lower(x), r"[\x20\x09-\x0D]+", " ")))
-    return F.transform(F.filter(normal, lambda x: x != ""), lambda x: F.struct(depth.alias("level"), x.alias("passage")))
+    normal = F.transform(F.concat(sentences, own), lambda x: F.trim(F.regexp_replace(ascii_lower(x), r"[\x20\x09-\x0D]+", " ")))
+    return F.transform(F.array_distinct(F.filter(normal, lambda x: x != "")), lambda x: F.struct(depth.alias("level"), x.alias("passage")))
 
 
 def passages(df: DataFrame) -> DataFrame:

@@ -122,13 +122,14 @@ def _chat(source: str, made: str = "") -> str:
     low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return rf"""
 WITH RECURSIVE {made}
-c AS (SELECT * FROM {source}),
-x AS (SELECT conv_id, turn, string_split(text, chr(10)) lines FROM c WHERE text IS NOT NULL),
-y AS (SELECT conv_id, turn, list_transform(lines, lambda l: {{'lev': length(regexp_replace(regexp_extract(l, '^[ \t]*>[> \t]*'), '[^>]', '', 'g')), 't': regexp_replace(l, '^[ \t]*>[> \t]*', '')}}) ls FROM x),
-z AS (SELECT conv_id, turn, ls, unnest(range(list_max(list_transform(ls, lambda l: l.lev)) + 1)) lev FROM y),
-b AS (SELECT conv_id, turn, lev, unnest(string_split_regex(array_to_string(list_transform(ls, lambda l: CASE WHEN l.lev = lev THEN l.t ELSE '' END), chr(10)), '\n[\x20\x09-\x0D]*\n')) p FROM z),
-q AS (SELECT conv_id, turn, lev, unnest(string_split(regexp_replace(p, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), chr(1))) p FROM b),
-n AS (SELECT conv_id, turn, lev, trim(regexp_replace({low.format('p')}, '[\x20\x09-\x0D]+', ' ', 'g')) p FROM q),
+c AS (SELECT row_number() OVER () rid, * FROM {source}),
+x AS (SELECT rid, conv_id, turn, string_split(text, chr(10)) lines FROM c WHERE text IS NOT NULL),
+y AS (SELECT rid, conv_id, turn, list_transform(lines, lambda l: {{'lev': length(regexp_replace(regexp_extract(l, '^[ \t]*>[> \t]*'), '[^>]', '', 'g')), 't': regexp_replace(l, '^[ \t]*>[> \t]*', '')}}) ls FROM x),
+z AS (SELECT rid, conv_id, turn, ls, unnest(range(list_max(list_transform(ls, lambda l: l.lev)) + 1)) lev FROM y),
+b AS (SELECT rid, conv_id, turn, lev, unnest(string_split_regex(array_to_string(list_transform(ls, lambda l: CASE WHEN l.lev = lev THEN l.t ELSE '' END), chr(10)), '\n[\x20\x09-\x0D]*\n')) p FROM z),
+q AS (SELECT rid, conv_id, turn, lev, unnest(string_split(regexp_replace(p, '([.!?])[\x20\x09-\x0D]+', '\1' || chr(1), 'g'), chr(1))) p FROM b
+      UNION ALL SELECT rid, conv_id, turn, lev, unnest(list_transform(list_filter(ls, lambda l: l.lev = lev), lambda l: l.t)) FROM z),
+n AS (SELECT DISTINCT rid, conv_id, turn, lev, trim(regexp_replace({low.format('p')}, '[\x20\x09-\x0D]+', ' ', 'g')) p FROM q),
 o AS (SELECT conv_id, p, min(turn) origin FROM n WHERE lev = 0 AND p <> '' GROUP BY ALL),
 v AS (SELECT n.conv_id, n.turn, n.lev, o.origin, sum(length(n.p)) size FROM n JOIN o USING (conv_id, p) WHERE lev > 0 AND origin < n.turn GROUP BY ALL),
 r AS (SELECT conv_id, turn, max((-lev, size, origin)) best FROM v GROUP BY ALL),

@@ -17,8 +17,8 @@ members; no link is lost to the components.
 
 near_duplicates() links texts by one fingerprint of three-word shingles. keep_one() is for texts whose
 five-word shingles have a Jaccard similarity of 0.8 or more. Such texts differ by 15 % of the
-bits of a fingerprint of those shingles, too many for a trie, but in far fewer distinct words; so candidates are pairs within
-the budget in one of CODES fingerprints of distinct words, found by the same tries, and a candidate
+bits of a fingerprint of those shingles, too many for a trie, but in far fewer distinct words; so candidates are pairs that
+in one of CODES fingerprints of distinct words agree on a quarter and differ in at most CODE_DISTANCE bits, found by the same tries, and a candidate
 is a link if WIDE_BITS bits of a fingerprint of the shingles differ by no more than that similarity's share and one standard
 error. Equal texts are one point from the start.
 
@@ -55,6 +55,7 @@ LEAST_HOT = 20_000
 SIMILARITY = 0.8
 WORDS = 5
 CODES = 6
+CODE_DISTANCE = 5
 WIDE_BITS = 256
 BYTES_AT_ONCE = 4_000_000
 #: Node pairs that are opened at a time.
@@ -220,11 +221,9 @@ def _links_of(keys: np.ndarray, turn: np.ndarray, fp: np.ndarray, opened: np.nda
 def links(points: DataFrame, total: int, budget: int = MAX_DISTANCE, least_hot: int = LEAST_HOT, most: int = 0) -> DataFrame:
     """(a, b) of spanning forests of the links between points (node, code, fp, wide).
 
-    Points link if fingerprints of one code number differ in at most budget bits, and if, unless it is null, wide
-    differs in at most so many. total: how many points there are, at least.
+    Points link if fingerprints of one code number agree on a quarter, as all do that differ in three bits or fewer, and differ in at most
+    budget bits, and if, unless it is null, wide differs in at most so many. total: how many points there are, at least.
     """
-    if not 0 <= budget <= 3:
-        raise ValueError("four quarters cover at most three differing bits")
     turned = points.select("node", "code", "fp", "wide", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("turn"))
     # Rotated by turn quarters, a fingerprint begins with this quarter, and then has the next.
     quarter = lambda k: F.shiftrightunsigned("fp", 64 - QUARTER * (k % 4 + 1)).bitwiseAND(F.lit((1 << QUARTER) - 1))
@@ -289,6 +288,8 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, budget: int = MAX_DISTANCE, least_hot: int = LEAST_HOT) -> DataFrame:
     """(id, fp, component_id) for each row: the smallest id that links reach, its own included."""
+    if not 0 <= budget <= 3:
+        raise ValueError("four quarters cover at most three differing bits")
     rows = stored(fingerprints(df, id_col, text, shingle), "fingerprints")
     total = rows.count()
     reps = rows.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("n"))
@@ -356,7 +357,7 @@ def most_differing(similarity: float = SIMILARITY, bits: int = WIDE_BITS) -> int
     return int(bits * share + math.sqrt(bits * share * (1 - share)))
 
 
-def similar(df: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, shingle: int = WORDS, budget: int = MAX_DISTANCE) -> DataFrame:
+def similar(df: DataFrame, id_col: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, shingle: int = WORDS, budget: int = CODE_DISTANCE) -> DataFrame:
     """(node, key, root) for each distinct text: its smallest key (null ids last), and its group."""
     docs = df.select(key_of(F.col(id_col), F.col(text)).alias("key"), F.col(text).cast("binary").alias("t"))
     each = profiles(docs, shingle).groupBy("node").agg(F.min("key").alias("key"), F.first("codes").alias("codes"), F.first("wide").alias("wide"))
