@@ -134,7 +134,7 @@ def arcs_of(codes: np.ndarray, left: np.ndarray, model: Model) -> Iterator[tuple
 class Lattice:
     """Of some distinct words: for each node (a word's places 0 to its length) the pieces that end there, by length.
 
-    upto: a node's number and the share of its pieces up to this one, so that one search finds a draw's piece.
+    upto: a node's number and the share of its pieces up to this one; what stands behind a node's last piece is larger.
     """
 
     codes: np.ndarray
@@ -183,7 +183,7 @@ def lattice(words: list[str], model: Model) -> Lattice:
             live = live[place[live] < stop[live]]
         alpha[nodes] = sums
     owner = np.repeat(np.arange(n), many)
-    return Lattice(codes, first, lengths, begin, piece, size, owner + upto / alpha[owner])
+    return Lattice(codes, first, lengths, begin, piece, size, np.append(owner + upto / alpha[owner], np.inf))
 
 
 def draws(seeds: np.ndarray, step: int | np.ndarray) -> np.ndarray:
@@ -200,8 +200,10 @@ def sample(lat: Lattice, word: np.ndarray, seeds: np.ndarray, model: Model) -> t
     s = 0
     while len(who):
         s += 1
-        hit = np.searchsorted(lat.upto, at + draws(seeds[who], s), "right")
-        hit = np.minimum(np.maximum(hit, lat.begin[at]), lat.begin[at + 1] - 1)
+        hit, target, more = lat.begin[at], at + draws(seeds[who], s), np.arange(len(at))
+        while len(more := more[lat.upto[hit[more]] <= target[more]]):  # the last piece's share is all there is
+            hit[more] += 1
+        hit = np.minimum(hit, lat.begin[at + 1] - 1)
         steps.append((who, lat.piece[hit].astype(np.int64), at))
         at = at - lat.size[hit]
         go_on = at > first[who]
