@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import ROW, ascii_lower, attach, discard, packed, spread, stored, unpacked
+from tidewake.llm.common import ascii_lower, attach, discard, numbered, packed, spread, stored
 
 QUOTED = r"^[ \t]*>[> \t]*"
 WHITE_LINE = r"\n[\x20\x09-\x0D]*\n"
@@ -98,7 +98,7 @@ def reply_order(df: DataFrame, conv: str = "conv_id", turn: str = "turn", text:
     links = found.select(F.struct("conv_id", "turn").alias("key"), "parent_turn", "parent_level", "root_turn", "depth").join(many, "key")
     out = attach(rows, links, "key", spread(F.col("text"), F.spark_partition_id()), df.count())
     added = ("parent_turn", "parent_level", "root_turn", "depth")
-    rest = [without_quotes(F.col("text")).alias(c) if c == text else F.col(ROW)[c].alias(c) for c in df.columns if c.lower() not in added]
+    rest = [without_quotes(F.col("text")).alias(c) if c == text else numbered(c, df.columns).alias(c) for c in df.columns if c.lower() not in added]
     return out.select(*rest, "parent_turn", "parent_level", F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("depth", F.lit(0).cast("long")).alias("depth"))
 
 

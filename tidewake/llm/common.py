@@ -65,19 +65,20 @@ def discard(df: DataFrame) -> None:
     store.delete(place, True)
 
 
-#: The one column of packed().
-ROW = "_row"
+def packed(df: DataFrame, *more: Column) -> DataFrame:
+    """df's columns by number, and more columns beside them, whose names so can't clash with df's. Each is still pruned by itself."""
+    return df.select(*[F.col(f"`{c}`").alias(f"_{i}_") for i, c in enumerate(df.columns)], *more)
 
 
-def packed(df: DataFrame, *more: Column) -> DataFrame:
-    """df's columns as one struct, ROW, and more columns beside it, whose names so can't clash with df's."""
-    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW), *more)
+def numbered(name: str, columns: list[str]) -> Column:
+    """A column of packed(), by its name in df's columns."""
+    return F.col(f"_{[c.lower() for c in columns].index(name.lower())}_")
 
 
 def unpacked(*without: str, columns: list[str]) -> list[Column]:
-    """The columns of ROW but for some, whatever their case."""
+    """All columns of packed() with their names, but for some, whatever their case."""
     gone = {c.lower() for c in without}
-    return [F.col(ROW)[c].alias(c) for c in columns if c.lower() not in gone]
+    return [F.col(f"_{i}_").alias(c) for i, c in enumerate(columns) if c.lower() not in gone]
 
 
 def ascii_lower(column: Column) -> Column:

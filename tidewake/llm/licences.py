@@ -34,7 +34,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import ROW, attach, packed, spread, stored, unpacked
+from tidewake.llm.common import attach, numbered, packed, spread, stored, unpacked
 
 #: Notices that point to licences, and the first paragraphs of some.
 NOTICES: dict[str, list[str]] = {
@@ -200,5 +200,5 @@ def licence_scan(df: DataFrame, id_col: str = "doc_id", path: str = "path", text
     return rows.select(
         *unpacked("licence", "cosine", "origin", "origin_id", columns=df.columns),
         F.coalesce("own.licence", "given.licence").alias("licence"), F.coalesce("own.cosine", "given.cosine").alias("cosine"), origin.alias("origin"),
-        F.when(F.col("own").isNotNull(), F.col(ROW)[id_col]).otherwise(F.col("given.id")).alias("origin_id"),
+        F.when(F.col("own").isNotNull(), numbered(id_col, df.columns)).otherwise(F.col("given.id")).alias("origin_id"),
     )

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import ROW, attach, key_of, packed, slices, spread, stored, unpacked
+from tidewake.llm.common import attach, key_of, numbered, packed, slices, spread, stored, unpacked
 
 LEAST_WORDS = 50
 BYTES_AT_ONCE = 4_000_000
@@ -187,7 +187,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", least_
     ranges = repeated(docs, least_words)
     # Texts without a word need no answer; their keys, which many rows may share, are dealt out like null.
     rows = packed(df, F.when(F.col(text) != "", key).alias("key"))
-    salt = spread(F.col(f"{ROW}.{id_col}"), F.col(f"{ROW}.{text}"))
+    salt = spread(numbered(id_col, df.columns), numbered(text, df.columns))
     out = attach(rows, ranges, "key", salt, df.count())
     names = [c for c in df.columns if c.lower() != "removed_lines"]
     at = [c.lower() for c in names].index(text.lower())

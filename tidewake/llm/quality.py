@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.llm.common import ROW, WHITE, packed, words
+from tidewake.llm.common import WHITE, packed, unpacked, words
 
 #: Common function words of the languages that the stop-word rule covers.
 STOP_WORDS = {
@@ -142,5 +142,5 @@ def keep_good(df: DataFrame, text: str = "text", lang: str | None = "lang", rule
     """
     judged = quality_features(packed(df, F.col(text).alias("text"), (F.col(lang) if lang else F.lit(None)).alias("lang")), "text")
     good = (100 * F.col("n_repeat_words") <= BASE_MOST_REPEATED * F.col("n_words")) & verdict(rules, "lang" if lang else None)
-    judged = judged.select(ROW, ((F.col("n_words") >= (BASE_LEAST_WORDS if base else 0)) & good).alias("kept"), F.monotonically_increasing_id().alias("row"))
-    return judged.where("row >= 0 AND kept").select(f"{ROW}.*")
+    judged = judged.select(*[F.col(f"_{i}_") for i in range(len(df.columns))], ((F.col("n_words") >= (BASE_LEAST_WORDS if base else 0)) & good).alias("kept"), F.monotonically_increasing_id().alias("row"))
+    return judged.where("row >= 0 AND kept").select(*unpacked(columns=df.columns))
