@@ -679,7 +679,7 @@ def test_topk_of_other_widths_ids_and_full_buckets(spark, monkeypatch):
         assert [(r.distance, r.neighbour_id) for r in sorted((r for r in out if r.query_id == q), key=lambda r: r.rank)] == near
 
 
-CLASHING = "row _row key n id text_ path licence cosine origin origin_id own given dir of dealt salt zero hot hot_key cold cold_key share start round slots r l k from_block to_block source_ _source _hash _id _part _rank _block _n _s _p _before _of _in _at slot place phase words _words _lines _keys _near kept n_words base_failed sum _sum ranges removed_lines fp fps hash first again end sums node code wide root component_id keep score held_out pieces n_pieces lossless conv _conv turn_ _turn at next up more depth parent_turn root_turn level".split()
+CLASHING = "_0_ key n id path licence origin given own dir hot salt start end share slots from_block _sum ranges removed_lines node wide _source _hash slot place words _words _at kept n_words pieces _conv _turn up parent_turn".split()
 
 
 def clashing(df):
