@@ -5,8 +5,13 @@ import math
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
+from tidewake.operators import audits, silver
+from tidewake.plans import queries
 from tidewake.plans.oracles import ORACLES
 from tidewake.plans.queries import QUERIES
+from tidewake.schemas import CHECKS
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -36,9 +41,28 @@ def test_query(spark, duck, name):
 
 
 def test_constraints_hold(spark):
-    assert not [r for r in QUERIES["check_violations"](spark, SF).collect() if r.violations]
-    assert not [r for r in QUERIES["unique_violations"](spark, SF).collect() if r.violations]
+    """As the rules make them, tables break no rule but what they are made from; planted violations of every rule are found."""
+    tables = queries._tables(spark, SF)
+    assert not [r for r in audits.check_violations(tables).collect() if r.violations]
+    assert not [r for r in audits.unique_violations(tables).collect() if r.violations] and not audits.enum_violations(tables).collect()
     assert QUERIES["inventory_cross_seed"](spark, SF).where("reserved_quantity > available_quantity").count() == 0
+    found = QUERIES["check_violations"](spark, SF).collect()
+    assert {(r.table_name, r.rule) for r in found if r.violations} == {(t, rule) for t, rule, _ in CHECKS} and len(CHECKS) == 13
+    assert all(r.violations for n in ("fk_violations", "unique_violations", "enum_violations") for r in QUERIES[n](spark, SF).collect())
+
+
+@pytest.mark.parametrize("size", [1, 7, 100_000])
+def test_late_rows_are_found_in_any_ranges(spark, size):
+    import random
+
+    rng = random.Random(size)
+    rows = [("t", p, o, 1000 * rng.randrange(200) if rng.random() < 0.9 else None) for p in range(2) for o in range(200)]
+    latest, want = {}, 0
+    for _, p, _, ms in rows:
+        want += ms is not None and p in latest and latest[p] - ms > 50_000
+        latest[p] = max(latest.get(p, 0), ms) if ms is not None else latest.get(p, -10**9)
+    df = spark.createDataFrame(rows, "kafka_topic string, kafka_partition int, kafka_offset bigint, ms bigint").withColumn("source_timestamp", F.timestamp_millis("ms"))
+    assert [(r.n, r.n_late) for r in silver.late(df, 50, size).collect()] == [(400, want)]
 
 
 def test_statuses(spark):

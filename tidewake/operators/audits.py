@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewake.schemas import CHECKS, FOREIGN_KEYS, UNIQUE
+from tidewake.schemas import CHECKS, ENUMS, FOREIGN_KEYS, UNIQUE
 
 
 def check_violations(tables: dict[str, DataFrame]) -> DataFrame:
@@ -22,6 +22,12 @@ def check_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def enum_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name, value, violations): values that an enumeration does not have."""
+    parts = [tables[t].where(~F.col(c).isin(*known)).groupBy(F.col(c).alias("value")).agg(F.count("*").alias("violations")).select(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), "value", "violations") for t, c, known in ENUMS if t in tables]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def fk_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """(child, fk_column, violations): rows whose parent is missing."""
     parts = []

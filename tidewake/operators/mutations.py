@@ -7,14 +7,55 @@ a fold for guarded ones.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tidewake.functions.draws import draw
+from tidewake.operators.synth import customer_rows, jittered, pick, totals
+from tidewake.schemas import CARRIERS, N_WAREHOUSES, PAYMENT_METHODS
+
+
+def new_customers(requests: DataFrame, base: int) -> DataFrame:
+    """A customer for each request (request_id from 1 on, name, country), with ids from base on."""
+    return customer_rows(requests.select((F.col("request_id") + (base - 1)).alias("customer_id"), "name", "country"))
+
+
+def new_orders(requests: DataFrame, products: DataFrame, max_customer: int, max_product: int, order_base: int) -> dict[str, DataFrame]:
+    """Orders with 1 to 4 items, their items and pending payments, and the stock that they ask for. requests: request_id, from 1 on.
+
+    Products are drawn with replacement; unknown ones are passed over, and so are orders without any other.
+    """
+    k = F.col("request_id")
+    rows = requests.select("request_id", F.explode(F.sequence(F.lit(0).cast("long"), draw("cart", k, 4))).alias("number"))
+    key = F.concat_ws("|", "request_id", "number")
+    rows = rows.withColumns({"product_id": draw("cartitem", key, max_product) + 1, "quantity": draw("cartquantity", key, 5) + 1}).join(products.select("product_id", "price"), "product_id")
+    items = rows.select(
+        ((k + (order_base - 1)) * 4 + F.col("number")).alias("order_item_id"), (k + (order_base - 1)).alias("order_id"), "product_id", "quantity", jittered(F.col("price"), "cartprice", key).alias("unit_price"),
+        (draw("cartwarehouse", key, N_WAREHOUSES) + 1).alias("warehouse_id"),
+    )
+    made = totals(items)
+    o = F.col("order_id")
+    orders = made.select("order_id", (draw("buyer", o, max_customer) + 1).alias("customer_id"), F.lit("PLACED").alias("order_status"), "total_amount")
+    payments = made.select((2 * o).alias("payment_id"), "order_id", F.lit("PENDING").alias("payment_status"), pick("method", o, PAYMENT_METHODS).alias("payment_method"), F.col("total_amount").alias("amount"))
+    return {"orders": orders, "order_items": items.drop("warehouse_id"), "payments": payments, "requests": items.select(F.col("order_item_id").alias("request_id"), "product_id", "warehouse_id", "quantity")}
 
 
 def reserve(inventory: DataFrame, requests: DataFrame) -> DataFrame:
-    """requests: request_id, product_id, warehouse_id, quantity. Each key's requests are folded in order, a request that does not fit is passed over."""
-    asked = requests.groupBy("product_id", "warehouse_id").agg(F.sort_array(F.collect_list(F.struct("request_id", "quantity"))).alias("asked"))
-    rows = inventory.join(asked, ["product_id", "warehouse_id"])
+    """requests: request_id, product_id, warehouse_id, quantity over 0. Each key's requests are folded in order, a request that does not fit is passed over.
+
+    What is left never grows, so once a request is passed over all later ones of its size or more are, too: of each key and size only the first
+    available / size requests can fit. Others are dropped before they are dealt out, which leaves a bounded fold
+    for any key, however many requests it has.
+    """
+    most = inventory.agg(F.coalesce(F.max("available_quantity"), F.lit(0))).first()[0]
+    place = ["product_id", "warehouse_id"]
+    nth = F.row_number().over(Window.partitionBy(*place, "quantity").orderBy("request_id"))
+    some = requests.where("quantity > 0").select("request_id", *place, "quantity").withColumn("_nth", nth).where(F.col("_nth") <= int(most))
+    stock = inventory.select(*place, F.col("available_quantity").alias("_stock"))
+    some = some.join(stock, place).where(F.col("_nth") * F.col("quantity") <= F.col("_stock"))
+    asked = some.groupBy(*place).agg(F.sort_array(F.collect_list(F.struct("request_id", "quantity"))).alias("asked"))
+    rows = inventory.join(asked, place)
     taken = F.aggregate("asked", F.lit(0).cast("bigint"), lambda a, r: F.when(F.col("available_quantity") - a >= r["quantity"], a + r["quantity"]).otherwise(a))
     return rows.withColumn("taken", taken).where("taken > 0").select(
         "inventory_id", "product_id", "warehouse_id",
@@ -43,13 +84,18 @@ def resolve_payments(orders: DataFrame, payments: DataFrame, draw) -> DataFrame:
     return out.select("order_id", "payment_id", "payment_status", F.when(F.col("payment_status") == "SUCCESS", "PAID").otherwise(F.col("order_status")).alias("order_status"))
 
 
-def advance_shipments(orders: DataFrame, shipments: DataFrame, draw) -> DataFrame:
-    """PAID or SHIPPED orders: a shipment is made, sent, or settled."""
-    rows = orders.where("order_status IN ('PAID', 'SHIPPED')").select("order_id", F.col("order_status").alias("was")).join(shipments.select("order_id", "shipment_status"), "order_id", "left")
-    settled = F.when(draw(F.col("order_id")) < 95, "DELIVERED").otherwise("RETURNED")
+def advance_shipments(orders: DataFrame, shipments: DataFrame, draw_of, now: Column) -> DataFrame:
+    """PAID or SHIPPED orders: a shipment is made (numbered as its order), sent, or settled; with the row that it then is."""
+    had = shipments.select("order_id", "shipment_id", "shipment_status", "carrier", "shipped_at", "delivered_at")
+    rows = orders.where("order_status IN ('PAID', 'SHIPPED')").select("order_id", F.col("order_status").alias("was")).join(had, "order_id", "left")
+    settled = F.when(draw_of(F.col("order_id")) < 95, "DELIVERED").otherwise("RETURNED")
     to = F.when(F.col("shipment_status").isNull(), "PENDING").when(F.col("shipment_status") == "PENDING", "SHIPPED").when(F.col("shipment_status") == "SHIPPED", settled)
     rows = rows.withColumn("to_status", to).where("to_status IS NOT NULL")
-    return rows.select("order_id", F.col("shipment_status").alias("from_status"), "to_status", F.when(F.col("to_status") == "SHIPPED", "SHIPPED").when(F.col("to_status") == "DELIVERED", "DELIVERED").otherwise(F.col("was")).alias("order_status"))
+    return rows.select(
+        "order_id", F.coalesce("shipment_id", "order_id").alias("shipment_id"), F.col("shipment_status").alias("from_status"), "to_status", F.coalesce("carrier", pick("newcarrier", F.col("order_id"), CARRIERS)).alias("carrier"),
+        F.when(F.col("to_status") == "SHIPPED", now).otherwise(F.col("shipped_at")).alias("shipped_at"), F.when(F.col("to_status").isin("DELIVERED", "RETURNED"), now).otherwise(F.col("delivered_at")).alias("delivered_at"),
+        F.when(F.col("to_status") == "SHIPPED", "SHIPPED").when(F.col("to_status") == "DELIVERED", "DELIVERED").otherwise(F.col("was")).alias("order_status"),
+    )
 
 
 def cancel(orders: DataFrame) -> DataFrame:
@@ -73,10 +119,12 @@ def change_products(products: DataFrame, draw) -> DataFrame:
     return products.select("product_id", F.when(is_price, price).otherwise(F.col("price")).alias("price"), F.when(is_price, F.col("stock_quantity")).otherwise(stock).alias("stock_quantity"))
 
 
-def apply_changes(state: DataFrame, changes: DataFrame, key: str, now) -> DataFrame:
-    """state with the rows of changes (op, key, after columns) applied: inserts, updates and deletes; updated_at is set on updates, as the trigger does."""
+def apply_changes(state: DataFrame, changes: DataFrame, key: str, now: Column | None = None, order: str | None = None) -> DataFrame:
+    """state with the rows of changes (op, key, after columns) applied: inserts, updates and deletes. Of several changes of a key the last by order counts. updated_at is set on updates, as the trigger does."""
     names = state.columns
-    last = changes.select(F.col(key).alias("_key"), "op", F.struct(*[F.col(c) for c in names]).alias("new"))
+    own = F.struct("op", F.struct(*names).alias("new"))
+    last = changes.groupBy(F.col(key).alias("_key")).agg((F.max_by(own, F.col(order)) if order else F.max(own)).alias("_c")).select("_key", "_c.*")
     out = state.withColumn("_old", F.lit(True)).join(last, F.col(key) == F.col("_key"), "full").where("op IS NULL OR op <> 'd'")
-    take = lambda c: F.when(F.col("op") == "u", F.lit(now)).when(F.col("op") == "c", F.col("new")[c]).otherwise(F.col(c)) if c == "updated_at" else F.when(F.col("op").isNotNull(), F.col("new")[c]).otherwise(F.col(c))
+    set_now = F.lit(None) if now is None else now
+    take = lambda c: F.when(F.col("op") == "u", set_now).when(F.col("op") == "c", F.col("new")[c]).otherwise(F.col(c)) if c == "updated_at" else F.when(F.col("op").isNotNull(), F.col("new")[c]).otherwise(F.col(c))
     return out.where("_old OR op = 'c'").select(*[take(c).alias(c) for c in names])

@@ -11,8 +11,9 @@ from pyspark.sql.window import Window
 from tidewake.functions.draws import draw
 from tidewake.functions.envelope import decode, event_id
 from tidewake.functions.statemachine import is_terminal, next_status, next_statuses, status_history
-from tidewake.operators import audits, ingest, mutations, silver, synth
+from tidewake.operators import audits, changes, ingest, mutations, silver, synth
 from tidewake.plans import standin as s
+from tidewake.plans.plants import PLANTS, planted
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Ingestion and failure times are left out, as they are the wall clock's.
@@ -151,19 +152,107 @@ def customer_email(spark, d):
     return s.customers(spark, d)
 
 
+def _now() -> F.Column:
+    """A fixed time, so that results don't depend on the clock."""
+    return F.lit("2026-01-01").cast("timestamp_ntz")
+
+
 @query
 def order_timestamps(spark, d):
-    return synth.order_times(s.orders(spark, d)).select("order_id", "order_status", (F.expr("timestampdiff(SECOND, created_at, updated_at)")).alias("seconds"))
+    o = synth.order_times(synth.created_times(s.orders(spark, d), _now()))
+    return o.select("order_id", "order_status", "created_at", F.expr("timestampdiff(SECOND, created_at, updated_at)").alias("seconds"))
+
+
+def _raw_products(spark: SparkSession, d: str) -> DataFrame:
+    return s.table(spark, d, "part").select(F.col("p_partkey").alias("product_id"), F.element_at(F.split("p_name", " "), 1).alias("word"))
+
+
+@query
+def product_synthesis(spark, d):
+    return synth.product_rows(_raw_products(spark, d))
+
+
+@query
+def order_item_synthesis(spark, d):
+    return synth.order_item_rows(s.orders(spark, d), s.products(spark, d))
+
+
+@query
+def order_total_synthesis(spark, d):
+    return synth.totals(synth.order_item_rows(s.orders(spark, d), s.products(spark, d)))
+
+
+@query
+def id_allocation(spark, d):
+    """Ids from 1001 on, without gaps, in the order of (order, line's digest)."""
+    i = s.order_items(spark, d).select("order_id", "order_item_id").distinct()
+    return synth.dense_ids(i, "order_id", ["order_item_id"], "item_number", 1001)
+
+
+@query
+def seeded_load(spark, d):
+    """Rows of the four tables that are loaded together, and the sums that hang together."""
+    t = synth.seeded_tables(s.orders(spark, d), s.products(spark, d))
+    n = synth.counts(t)
+    money = t["orders"].agg(F.sum("total_amount").alias("money")).select(F.lit("orders").alias("of"), "money").unionByName(t["payments"].agg(F.sum("amount").alias("money")).select(F.lit("payments").alias("of"), "money"))
+    return n.join(money, n["table_name"] == money["of"], "left").select("table_name", "n", F.col("money").cast("decimal(38,2)").alias("money"))
+
+
+@query
+def new_customer_events(spark, d):
+    c = s.table(spark, d, "customer")
+    base = c.agg(F.coalesce(F.max("c_custkey"), F.lit(0))).first()[0] + 1
+    asked = c.where("c_custkey % 20 = 0").select((F.col("c_custkey") / 20).cast("bigint").alias("request_id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("country"))
+    return changes.snapshot(mutations.new_customers(asked, base), "customer_id").select(F.lit("c").alias("op"), "key", F.to_json("after").alias("after"))
 
 
 @query
 def new_order_events(spark, d):
-    """Inserts of orders and their pending payments, as envelopes' images."""
-    o = s.orders(spark, d, seeded=False).where("order_status = 'PLACED'")
-    image = F.to_json(F.struct("order_id", "customer_id", "order_status", F.col("total_amount").cast("string").alias("total_amount")))
-    pay = F.to_json(F.struct((F.col("order_id") * 2).alias("payment_id"), "order_id", F.lit("PENDING").alias("payment_status")))
-    first = o.select(F.lit("cdc.orders").alias("topic"), F.col("order_id").alias("key"), F.lit("c").alias("op"), image.alias("after"))
-    return first.unionByName(o.select(F.lit("cdc.payments").alias("topic"), (F.col("order_id") * 2).alias("key"), F.lit("c").alias("op"), pay.alias("after")))
+    """All changes that new orders make: inserts of orders, items and payments, and updates of the stock that they reserve."""
+    made, stock, _ = _new_orders(spark, d)
+    keys = {"orders": "order_id", "order_items": "order_item_id", "payments": "payment_id"}
+    inserts = [(t, changes.snapshot(made[t], k).withColumn("op", F.lit("c"))) for t, k in keys.items()]
+    reserved = mutations.reserve(stock, made["requests"])
+    before = stock.join(reserved.select("inventory_id"), "inventory_id", "left_semi")
+    rows = [df.select(F.lit(f"cdc.{t}").alias("topic"), "op", "key", _image("before").alias("before"), _image("after").alias("after")) for t, df in [*inserts, ("inventory", changes.changes(before, reserved.select(*before.columns), "inventory_id"))]]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+
+
+def _image(c: str) -> F.Column:
+    return F.when(F.col(c).isNotNull(), F.to_json(c))
+
+
+def _new_orders(spark: SparkSession, d: str) -> tuple[dict[str, DataFrame], DataFrame, int]:
+    """A request for each tenth customer; every 17th product is unknown by then."""
+    c, p = s.table(spark, d, "customer"), s.products(spark, d)
+    last = s.table(spark, d, "orders").agg(F.coalesce(F.max("o_orderkey"), F.lit(0))).first()[0]
+    asked = c.where("c_custkey % 10 = 0").select((F.col("c_custkey") / 10).cast("bigint").alias("request_id"))
+    most = p.agg(F.max("product_id")).first()[0]
+    buyers = c.agg(F.max("c_custkey")).first()[0]
+    return mutations.new_orders(asked, p.where("product_id % 17 <> 0"), buyers, most, last + 1), s.inventory(spark, d), last
+
+
+@query
+def cdc_roundtrip(spark, d):
+    """Orders, captured as a snapshot and a log of updates and deletes, sent as envelopes, decoded, landed, and read back as current state."""
+    o = s.orders(spark, d).select("order_id", "order_status", "total_amount")
+    paid = mutations.resolve_payments(s.orders(spark, d), s.payments(spark, d), lambda k: draw("resolve", k, 100)).select("order_id", F.col("order_status").alias("now"))
+    later = o.join(paid, "order_id", "left").select("order_id", F.coalesce("now", "order_status").alias("order_status"), "total_amount").where("NOT (order_status = 'CANCELLED' AND order_id % 2 = 0)")
+    log = changes.envelopes(changes.snapshot(o, "order_id"), "cdc.orders", F.col("key")).unionByName(changes.envelopes(changes.changes(o, later, "order_id"), "cdc.orders", F.col("key") + (1 << 40)))
+    now = silver.current_state(ingest.bronze_rows(ingest.decoded(log)), "order_id")
+    return silver.typed(now.select(F.lit("").alias("event_id"), "operation", F.lit(None).alias("before"), "after", "source_lsn"), {"order_id": "bigint", "order_status": "string", "total_amount": "decimal(12,2)"}).select("order_id", "operation", "order_status", "total_amount")
+
+
+@query
+def change_mix(spark, d):
+    """Changes that deleting items makes, by kind."""
+    o, i = s.orders(spark, d), s.order_items(spark, d).dropDuplicates(["order_item_id"])
+    gone = mutations.delete_items(o, i, F.col("order_item_id"))
+    left = i.join(gone.select("order_item_id"), "order_item_id", "left_anti")
+    kept = o.select("order_id", "total_amount").join(gone.select("order_id", F.col("total_amount").alias("less")), "order_id", "left").select("order_id", F.coalesce("less", "total_amount").cast("decimal(12,2)").alias("total_amount"))
+    items = changes.changes(i, left, "order_item_id").select(F.lit("cdc.order_items").alias("topic"), "op", F.col("before.quantity").alias("q"))
+    orders = changes.changes(o.select("order_id", "total_amount"), kept, "order_id").select(F.lit("cdc.orders").alias("topic"), "op", F.lit(0).alias("q"))
+    return items.unionByName(orders).groupBy("topic", "op").agg(F.count("*").alias("n"), F.sum("q").alias("quantity"))
 
 
 @query
@@ -190,7 +279,9 @@ def payment_resolution(spark, d):
 
 @query
 def shipment_advance(spark, d):
-    return mutations.advance_shipments(s.orders(spark, d), s.shipments(spark, d), lambda k: draw("settle", k, 100))
+    """A tenth of the orders have no shipment yet."""
+    had = s.shipments(spark, d).where(draw("lost", F.col("order_id"), 10) > 0)
+    return mutations.advance_shipments(s.orders(spark, d), had, lambda k: draw("settle", k, 100), _now())
 
 
 @query
@@ -218,11 +309,12 @@ def profile_update(spark, d):
 @query
 def apply_order_changes(spark, d):
     """State after payments are resolved and cancelled orders of one kind deleted."""
-    o = s.orders(spark, d).select("order_id", "order_status", "total_amount")
+    o = synth.order_times(s.orders(spark, d)).select("order_id", "order_status", "total_amount", "updated_at")
     paid = mutations.resolve_payments(s.orders(spark, d), s.payments(spark, d), lambda k: draw("resolve", k, 100)).where("order_status = 'PAID'").select("order_id", "order_status")
-    up = paid.join(o.select("order_id", "total_amount"), "order_id").select(F.lit("u").alias("op"), "order_id", "order_status", "total_amount")
-    gone = o.where((F.col("order_status") == "CANCELLED") & (F.col("order_id") % 2 == 0)).select(F.lit("d").alias("op"), "order_id", "order_status", "total_amount")
-    return mutations.apply_changes(o, up.unionByName(gone), "order_id", None)
+    up = paid.join(o.drop("order_status"), "order_id").select(F.lit("u").alias("op"), *o.columns, F.lit(2).alias("lsn"))
+    first = up.withColumns({"order_status": F.lit("PLACED"), "lsn": F.lit(1)})  # an earlier change of the same keys
+    gone = o.where((F.col("order_status") == "CANCELLED") & (F.col("order_id") % 2 == 0)).select(F.lit("d").alias("op"), *o.columns, F.lit(1).alias("lsn"))
+    return mutations.apply_changes(o, up.unionByName(gone).unionByName(first), "order_id", _now(), "lsn")
 
 
 @query
@@ -239,25 +331,29 @@ def _tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return {n: getattr(s, n)(spark, d) for n in ("customers", "products", "orders", "order_items", "payments", "inventory", "shipments")} | {"warehouses": s.warehouses(spark)}
 
 
+def _planted(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The tables, with violations of every rule planted in them."""
+    return {n: df.selectExpr(*[planted(n, c) for c in df.columns]) if n in PLANTS else df for n, df in _tables(spark, d).items()}
+
+
 @query
 def check_violations(spark, d):
-    return audits.check_violations(_tables(spark, d))
+    return audits.check_violations(_planted(spark, d))
 
 
 @query
 def enum_violations(spark, d):
-    o = s.table(spark, d, "orders").select("o_orderstatus")
-    return o.where(~F.col("o_orderstatus").isin("O", "F")).groupBy("o_orderstatus").agg(F.count("*").alias("violations"))
+    return audits.enum_violations(_planted(spark, d))
 
 
 @query
 def fk_violations(spark, d):
-    return audits.fk_violations(_tables(spark, d))
+    return audits.fk_violations(_planted(spark, d))
 
 
 @query
 def unique_violations(spark, d):
-    return audits.unique_violations(_tables(spark, d))
+    return audits.unique_violations(_planted(spark, d))
 
 
 @query
@@ -268,9 +364,7 @@ def silver_dedup(spark, d):
 
 @query
 def silver_current_state(spark, d):
-    b = _bronze(spark, d).withColumn("user_id", F.get_json_object("after", "$.user_id"))
-    gone = F.when(F.col("kafka_offset") % 7 == 0, "d").otherwise(F.col("operation"))
-    return silver.current_state(b.withColumn("operation", gone), "user_id")
+    return silver.current_state(_bronze(spark, d), "user_id")
 
 
 @query
@@ -315,7 +409,7 @@ def dlq_reprocess(spark, d):
 def late_events(spark, d):
     b = _bronze(spark, d)
     shuffled = b.withColumn("source_timestamp", F.timestamp_millis(F.unix_millis("source_timestamp") - 3_600_000 * draw("late", F.col("kafka_offset"), 5)))
-    return silver.late(shuffled, 3600)
+    return silver.late(shuffled, 3600, 1000)
 
 
 @query

@@ -18,14 +18,15 @@ def epoch_ms(ts) -> F.Column:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as stream records; error events have malformed texts of four kinds."""
+    """Events as stream records: inserts, snapshot reads, updates and deletes; error events have malformed texts of four kinds."""
     e = table(spark, sf_dir, "events")
-    op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "view", "r").otherwise("u")
+    op = F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "view", "r").when(F.col("event_id") % 7 == 0, "d").otherwise("u")
     image = lambda cents: F.concat(F.lit('{"event_id":'), "event_id", F.lit(',"user_id":'), "user_id", F.lit(',"cents":"'), cents, F.lit('"}'))
     cents = F.floor(F.col("value") * 100).cast("bigint").cast("string")
-    before = F.when(op == "u", image(F.lit("0"))).otherwise("null")
+    before = F.when(op == "u", image(F.lit("0"))).when(op == "d", image(cents)).otherwise("null")
+    after = F.when(op == "d", "null").otherwise(image(cents))
     tx = F.when(op == "r", "null").otherwise(F.concat(F.lit('{"id":"tx-'), F.floor(F.col("event_id") / 10).cast("string"), F.lit('"}')))
-    good = F.concat(F.lit('{"op":"'), op, F.lit('","before":'), before, F.lit(',"after":'), image(cents), F.lit(',"source":{"ts_ms":'), epoch_ms("ts").cast("string"), F.lit(',"lsn":'), (F.col("event_id") * 10 + 1000).cast("string"), F.lit('},"transaction":'), tx, F.lit("}"))
+    good = F.concat(F.lit('{"op":"'), op, F.lit('","before":'), before, F.lit(',"after":'), after, F.lit(',"source":{"ts_ms":'), epoch_ms("ts").cast("string"), F.lit(',"lsn":'), (F.col("event_id") * 10 + 1000).cast("string"), F.lit('},"transaction":'), tx, F.lit("}"))
     bad = F.when(F.col("event_id") % 4 == 0, "{not json").when(F.col("event_id") % 4 == 1, '{"op":"c"}').when(F.col("event_id") % 4 == 2, "[1,2,3]")
     return e.select(
         F.concat(F.lit("cdc."), "event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"), F.col("event_id").alias("offset"),
@@ -34,9 +35,9 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    dotted = F.replace(F.lower(F.replace("c_name", F.lit("#"), F.lit(" "))), F.lit(" "), F.lit("."))
-    return c.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"), F.concat(dotted, F.lit("."), "c_custkey", F.lit("@example.com")).alias("email"), F.col("c_nationkey").alias("country"))
+    from tidewake.operators.synth import customer_rows
+
+    return customer_rows(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("country")))
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,9 +72,9 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidewake.operators.synth import shipment_rows
+    from tidewake.operators.synth import order_times, shipment_rows
 
-    return shipment_rows(orders(spark, sf_dir))
+    return shipment_rows(order_times(orders(spark, sf_dir)))
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

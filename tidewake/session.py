@@ -22,8 +22,17 @@ class Settings:
     branch: str = field(default_factory=lambda: os.environ.get("NESSIE_REF", "main"))
     bucket: str = field(default_factory=lambda: os.environ.get("LAKEHOUSE_BUCKET", "lakehouse"))
     endpoint: str = field(default_factory=lambda: os.environ.get("S3_ENDPOINT", "http://minio:9000"))
+    access_key: str = field(default_factory=lambda: os.environ.get("S3_ACCESS_KEY", ""))
+    secret_key: str = field(default_factory=lambda: os.environ.get("S3_SECRET_KEY", ""), repr=False)
     bootstrap: str = field(default_factory=lambda: os.environ.get("KAFKA_BOOTSTRAP_SERVERS", "kafka:9092"))
 
+    seed_customers: int = 10_000
+    seed_products: int = 10_000
+    seed_orders: int = 1_000_000
+    seed_items_per_order: int = 4
+    seed_batch_rows: int = 25_000
+    seed: int = 42
+
     def checkpoint(self, table: str) -> str:
         return f"s3a://{self.bucket}/checkpoints/bronze/{table}/"
 
@@ -36,8 +45,10 @@ def build_session(app: str, settings: Settings | None = None, **conf: str) -> Sp
         b = b.config(map={
             "spark.sql.extensions": "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions,org.projectnessie.spark.extensions.NessieSparkSessionExtensions",
             c: "org.apache.iceberg.spark.SparkCatalog", f"{c}.catalog-impl": "org.apache.iceberg.nessie.NessieCatalog", f"{c}.uri": s.catalog_uri, f"{c}.ref": s.branch, f"{c}.warehouse": f"s3a://{s.bucket}/",
-            "spark.sql.defaultCatalog": s.catalog, "spark.hadoop.fs.s3a.endpoint": s.endpoint, "spark.hadoop.fs.s3a.path.style.access": "true",
+            "spark.sql.defaultCatalog": s.catalog, "spark.hadoop.fs.s3a.endpoint": s.endpoint, "spark.hadoop.fs.s3a.path.style.access": "true", "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
         })
+        if s.access_key:
+            b = b.config(map={"spark.hadoop.fs.s3a.access.key": s.access_key, "spark.hadoop.fs.s3a.secret.key": s.secret_key})
     for k, v in conf.items():
         b = b.config(k, v)
     return b.getOrCreate()

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewake.schemas import CAPTURED, RECORD
 
@@ -27,6 +29,7 @@ class Capture:
         return f"{namespace}.{self.name}_cdc"
 
 
+RETENTION_DAYS = 3
 REGISTRY = [Capture(n) for n in CAPTURED]
 
 
@@ -42,7 +45,15 @@ def file_stream(spark: SparkSession, path: str, files_per_trigger: int | None =
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
-def bronze_history(spark: SparkSession, table: str, topic: str | None = None) -> DataFrame:
-    """The raw table as the source of a backfill."""
+def bronze_history(spark: SparkSession, table: str, topic: str | None = None, since: date | None = None) -> DataFrame:
+    """The raw table as the source of a backfill; since: the first day of ingestion, by which partitions are pruned."""
     df = spark.read.table(table)
-    return df if topic is None else df.where(df.kafka_topic == topic)
+    if since is not None:
+        day = df["ingestion_timestamp_date"] if "ingestion_timestamp_date" in df.columns else F.to_date("ingestion_timestamp")
+        df = df.where(day >= F.lit(since))
+    return df if topic is None else df.where(F.col("kafka_topic") == topic)
+
+
+def retained(records: DataFrame, timestamp: str, now: Column, days: int = RETENTION_DAYS) -> DataFrame:
+    """Records that the topic's retention still keeps."""
+    return records.where(F.col(timestamp) > now - F.make_dt_interval(days=F.lit(days)))
