@@ -190,7 +190,7 @@ class Group:
         sizes, held = np.array(self.sizes, np.int32), np.array(self.held, bool)
         kind = np.uint16 if len(words) <= 1 << 16 else np.uint32
         return {
-            "group": group, "ids": self.ids, "held": np.packbits(held).tobytes(), "keys": self.keys, "sizes": sizes.tobytes(), "h": h[order].tobytes(), "g": g[order].tobytes(), "numbers": rank[numbers].astype(kind).tobytes(),
+            "group": group, "ids": self.ids, "held": np.packbits(held).tobytes(), "keys": self.keys, "sizes": sizes.tobytes(), "h": h[order].tobytes(), "g": g[order].tobytes(), "numbers": pa.compress(rank[numbers].astype(kind).tobytes(), codec="zstd", asbytes=True),
             "n_grams": len(numbers) + len(words), "n_trained": int((sizes - 1)[~held].sum()),
         }
 
@@ -257,7 +257,8 @@ class Pairs:
 def pairs_of(sizes: bytes, held: bytes, h: bytes, g: bytes, numbers: bytes) -> Pairs:
     own, wide = np.frombuffer(sizes, np.int32).astype(np.int64), np.frombuffer(h, np.uint64)
     n = int(own.sum())
-    seq = np.frombuffer(numbers, np.uint16 if len(numbers) == 2 * n else np.uint32).astype(np.int64)
+    item = np.uint16 if len(wide) <= 1 << 16 else np.uint32
+    seq = np.frombuffer(pa.decompress(numbers, decompressed_size=n * item().itemsize, codec="zstd", asbytes=True), item).astype(np.int64)
     token = np.ones(n, bool)
     token[np.cumsum(own) - own] = False
     word, before = seq[token], seq[np.flatnonzero(token) - 1]
@@ -287,7 +288,7 @@ _PROBES = "segment int, group bigint, grams binary, counts binary, h binary, g b
 
 
 def probes(rows: DataFrame, segments: int) -> DataFrame:
-    """What each group sends to each segment: its n-grams and their counts in training rows."""
+    """What each group sends to each segment: its n-grams and their counts in training rows. n-grams are sent byte by byte, as the high bytes of sorted ones compress."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -296,12 +297,12 @@ def probes(rows: DataFrame, segments: int) -> DataFrame:
                 cuts = np.searchsorted(segment_of(p.grams, segments), np.arange(segments + 1)).tolist()
                 h, g, words, counted = p.h[p.order], p.g[p.order], p.words[p.order], p.trained_words[p.order]
                 at = np.searchsorted(segment_of(words, segments), np.arange(segments + 1)).tolist()
-                low = np.ascontiguousarray(p.grams[:, None].view(np.uint8)[:, :GRAM_BYTES])
+                low = p.grams[:, None].view(np.uint8)[:, :GRAM_BYTES]
                 some = [s for s in range(segments) if cuts[s + 1] > cuts[s] or at[s + 1] > at[s]]
                 blob = lambda f: pa.array([f(s) for s in some], pa.binary())  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays([
                     pa.array(some, pa.int32()), pa.array([group] * len(some), pa.int64()),
-                    blob(lambda s: low[cuts[s] : cuts[s + 1]].tobytes()), blob(lambda s: _small(p.trained[cuts[s] : cuts[s + 1]])),  # noqa: B023
+                    blob(lambda s: low[cuts[s] : cuts[s + 1]].T.tobytes()), blob(lambda s: _small(p.trained[cuts[s] : cuts[s + 1]])),  # noqa: B023
                     blob(lambda s: h[at[s] : at[s + 1]].tobytes()), blob(lambda s: g[at[s] : at[s + 1]].tobytes()), blob(lambda s: _small(counted[at[s] : at[s + 1]])),  # noqa: B023
                 ], names=["segment", "group", "grams", "counts", "h", "g", "word_counts"])
 
@@ -329,7 +330,10 @@ def answered(rows: list[tuple], entry_bits: float) -> tuple[list[tuple[bytes, by
     """One segment: the answers to its rows (grams, counts, h, g, word_counts), its distinct trained words, and its filter's bits."""
     sizes = [len(r[0]) // GRAM_BYTES for r in rows]
     raw = np.zeros((sum(sizes), 8), np.uint8)
-    raw[:, :GRAM_BYTES] = np.frombuffer(b"".join(r[0] for r in rows), np.uint8).reshape(-1, GRAM_BYTES)
+    at = 0
+    for r, n in zip(rows, sizes, strict=True):
+        raw[at : at + n, :GRAM_BYTES] = np.frombuffer(r[0], np.uint8).reshape(GRAM_BYTES, n).T
+        at += n
     grams = raw.view(np.uint64)[:, 0]
     counts = np.concatenate([_wide(r[1], n) for r, n in zip(rows, sizes, strict=True)])
     words = [len(r[2]) // 8 for r in rows]
