@@ -56,7 +56,7 @@ ENTRY_BITS = 12
 GRAM_BITS = 48
 GRAM_BYTES = 6
 #: Bytes of text to a group; n-grams that groups send to a segment, about; groups that are scored by a task, about.
-GROUP_BYTES = 6_000_000
+GROUP_BYTES = 4_500_000
 SEGMENT_GRAMS = 1 << 20
 TASK_GROUPS = 4
 _M = np.uint64(0x9E3779B97F4A7C15)
