@@ -56,7 +56,7 @@ SIMILARITY = 0.8
 WORDS = 5
 CODES = 6
 CODE_DISTANCE = 5
-WIDE_BITS = 256
+WIDE_BITS = 512
 BYTES_AT_ONCE = 4_000_000
 #: Node pairs that are opened at a time.
 PAIRS_AT_ONCE = 1 << 20
