@@ -66,7 +66,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector:
     asked = rows.where("asks").groupBy(F.col("code").alias("q")).agg(F.count("*").alias("n"))
     pending, done = stored(asked.select("q", empty.alias("found")), "pending"), []
     for s in range(WIDTH + 1):
-        masks = F.array(*[F.lit(sum(1 << b for b in c)) for c in combinations(range(WIDTH), s)]) if s < 4 else F.filter(F.sequence(F.lit(0), F.lit((1 << WIDTH) - 1)), lambda m: F.bit_count(m) == s)
+        masks = F.split(F.lit(",".join(str(sum(1 << b for b in c)) for c in combinations(range(WIDTH), s))), ",").cast("array<int>")  # folded to a constant
         spread_out = pending.select("q", F.posexplode("q").alias("j", "own")).repartition(tasks, "q", "j")
         probes = spread_out.select("q", "j", "own", F.explode(masks).alias("mask")).select("q", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
         probes = probes.join(full, ["j", "part"], "left").select("q", "j", "part", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
