@@ -4,7 +4,8 @@ A vector's code has one bit for each dimension: whether it is over zero. Dimensi
 shorter vector lacks count as not. Codes are cut into segments of WIDTH bits, and codes with equal segments
 share a bucket. Round s looks into the buckets whose segment differs from the query's in
 just s bits, for all segments. All codes within segments * (s + 1) - 1 bits have then been
-seen, so a query is done when its k-th verified distance is at most that. A pair is
+seen, so a query is done when its k-th verified distance is at most that; a query whose k-th distance
+so far is d looks only into its first d - segments * s + 1 segments, which cover d. A pair is
 taken only from the first bucket in which it shows up, so none is seen twice.
 
 Equal codes are searched for once, with their smallest ids (k + 1 of them, as a
@@ -65,9 +66,13 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector:
     empty = F.array().cast(f"array<struct<distance:int,id:{kind}>>")
     asked = rows.where("asks").groupBy(F.col("code").alias("q")).agg(F.count("*").alias("n"))
     pending, done = stored(asked.select("q", empty.alias("found")), "pending"), []
+    enough = min(k + 1, total)
+    last = F.array_max("found")["distance"]
     for s in range(WIDTH + 1):
+        before_round = pending
         masks = F.split(F.lit(",".join(str(sum(1 << b for b in c)) for c in combinations(range(WIDTH), s))), ",").cast("array<int>")  # folded to a constant
-        spread_out = pending.select("q", F.posexplode("q").alias("j", "own")).repartition(tasks, "q", "j")
+        pending = pending.withColumn("looks", F.when(F.size("found") >= enough, F.least(F.lit(segments), last - segments * s + 1)).otherwise(segments))
+        spread_out = pending.select("q", F.posexplode(F.slice("q", 1, F.col("looks"))).alias("j", "own")).repartition(tasks, "q", "j")
         probes = spread_out.select("q", "j", "own", F.explode(masks).alias("mask")).select("q", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
         probes = probes.join(full, ["j", "part"], "left").select("q", "j", "part", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
         hits = probes.hint("merge").join(index, ["j", "part", "salt"])  # an explosion looks as small as what explodes, and would be broadcast
@@ -78,10 +83,10 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector:
         known = pending.select("q", F.explode("found").alias("f")).select("q", "f.distance", "f.id")
         best = seen.union(known).withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("distance", "id"))).where(F.col("r") <= k + 1)
         best = best.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("found"))
-        now = pending.select("q").join(best, "q", "left").select("q", F.coalesce("found", empty).alias("found"))
-        sure = (F.size("found") >= min(k + 1, total)) & (F.coalesce(F.array_max("found")["distance"], F.lit(segments * WIDTH + 1)) <= segments * (s + 1) - 1)
-        now = stored(now.withColumn("sure", sure), "pending")
-        discard(pending)
+        now = pending.select("q", "looks").join(best, "q", "left").select("q", "looks", F.coalesce("found", empty).alias("found"))
+        sure = (F.size("found") >= enough) & (F.coalesce(last, F.lit(segments * WIDTH + 1)) <= segments * s + F.col("looks") - 1)
+        now = stored(now.withColumn("sure", sure).drop("looks"), "pending")
+        discard(before_round)
         done.append(now.where("sure" if s < WIDTH else "true").drop("sure"))
         pending = stored(now.where("not sure").drop("sure"), "pending")
         if pending.isEmpty():
