@@ -10,8 +10,9 @@ taken only from the first bucket in which it shows up, so none is seen twice.
 
 Equal codes are searched for once, with their smallest ids (k + 1 of them, as a
 query is not its own neighbour); so groups of copies neither fill buckets nor drop out. Buckets
-with more than BUCKET_CODES codes are dealt out by salt, and probes into them go to each part: at most
-segments * codes / BUCKET_CODES buckets, but no more than all segment values. Probes are spread by query before they multiply.
+with more than BUCKET_CODES codes are dealt out by salt, and probes into them go to each part. Probes are spread by query before they multiply,
+and those into buckets without codes go before the shuffle: the list of buckets, at most segments * 2 ** WIDTH, is broadcast if that
+is at most MOST_BUCKETS, and joined otherwise.
 
 Ties go by id, of whatever type that can be sorted. Vectors that are null, empty or have a null dimension have no
 code: they are neither found nor answered; nor are rows with a null id. Repeated ids are found once each time they occur. Other
@@ -33,6 +34,8 @@ WIDTH = 16
 K = 10
 #: Codes to a part of a bucket.
 BUCKET_CODES = 2000
+#: Rows of three numbers that may be broadcast.
+MOST_BUCKETS = 1 << 20
 
 
 def code(vector: Column, segments: int) -> Column:
@@ -60,9 +63,10 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector:
     smallest = rows.withColumn("r", F.row_number().over(Window.partitionBy("code").orderBy("id"))).where(F.col("r") <= k + 1)
     codes = smallest.groupBy("code").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     index = stored(codes.select("code", "ids", F.posexplode("code").alias("j", "part")), "index")
-    full = index.groupBy("j", "part").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_CODES).select("j", "part", F.ceil(F.col("n") / BUCKET_CODES).cast("int").alias("salts"))
-    full = F.broadcast(stored(full, "full"))  # bounded: see above
-    index = index.join(full, ["j", "part"], "left").select("j", "part", "code", "ids", F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("code"), F.col("salts"))).otherwise(0).cast("int").alias("salt"))
+    buckets = stored(index.groupBy("j", "part").agg(F.ceil(F.count("*") / BUCKET_CODES).cast("int").alias("salts")), "buckets")
+    if segments << WIDTH <= MOST_BUCKETS:
+        buckets = F.broadcast(buckets)
+    index = index.join(buckets, ["j", "part"]).select("j", "part", "code", "ids", F.pmod(F.xxhash64("code"), F.col("salts")).cast("int").alias("salt"))
     empty = F.array().cast(f"array<struct<distance:int,id:{kind}>>")
     asked = rows.where("asks").groupBy(F.col("code").alias("q")).agg(F.count("*").alias("n"))
     pending, done = stored(asked.select("q", empty.alias("found")), "pending"), []
@@ -74,7 +78,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector:
         pending = pending.withColumn("looks", F.when(F.size("found") >= enough, F.least(F.lit(segments), last - segments * s + 1)).otherwise(segments))
         spread_out = pending.select("q", F.posexplode(F.slice("q", 1, F.col("looks"))).alias("j", "own")).repartition(tasks, "q", "j")
         probes = spread_out.select("q", "j", "own", F.explode(masks).alias("mask")).select("q", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
-        probes = probes.join(full, ["j", "part"], "left").select("q", "j", "part", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"))
+        probes = probes.join(buckets, ["j", "part"]).select("q", "j", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
         hits = probes.hint("merge").join(index, ["j", "part", "salt"])  # an explosion looks as small as what explodes, and would be broadcast
         differ = F.zip_with("q", "code", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
         before = F.forall(F.slice(differ, 1, F.col("j")), lambda d: d > s)
