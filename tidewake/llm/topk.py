@@ -46,9 +46,9 @@ def code(vector: Column, segments: int) -> Column:
     return F.when(whole.isNotNull(), F.array(*[part(j) for j in range(segments)]))
 
 
-def distance(a: Column, b: Column) -> Column:
-    """Differing bits of two codes."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+def differing(a: str, b: str, segments: int) -> list[Column]:
+    """Differing bits of two codes, for each segment."""
+    return [F.bit_count(F.col(a)[j].bitwiseXOR(F.col(b)[j])) for j in range(segments)]
 
 
 def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
@@ -80,10 +80,9 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector:
         probes = spread_out.select("q", "j", "own", F.explode(masks).alias("mask")).select("q", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
         probes = probes.join(buckets, ["j", "part"]).select("q", "j", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
         hits = probes.hint("merge").join(index, ["j", "part", "salt"])  # an explosion looks as small as what explodes, and would be broadcast
-        differ = F.zip_with("q", "code", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-        before = F.forall(F.slice(differ, 1, F.col("j")), lambda d: d > s)
-        after = F.forall(F.slice(differ, F.col("j") + 2, segments), lambda d: d >= s)
-        seen = hits.where(before & after).select("q", distance(F.col("q"), F.col("code")).alias("distance"), F.explode("ids").alias("id"))
+        differ = differing("q", "code", segments)
+        first = reduce(Column.__and__, [F.when(F.col("j") > i, d > s).otherwise(d >= s) for i, d in enumerate(differ)])
+        seen = hits.where(first).select("q", reduce(Column.__add__, differ).alias("distance"), F.explode("ids").alias("id"))
         known = pending.select("q", F.explode("found").alias("f")).select("q", "f.distance", "f.id")
         best = seen.union(known).withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("distance", "id"))).where(F.col("r") <= k + 1)
         best = best.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("found"))
