@@ -34,6 +34,7 @@ WIDTH = 16
 K = 10
 #: Codes to a part of a bucket.
 BUCKET_CODES = 2000
+SALT_BITS = 24
 #: Rows of three numbers that may be broadcast.
 MOST_BUCKETS = 1 << 20
 
@@ -51,6 +52,11 @@ def differing(a: str, b: str, segments: int) -> list[Column]:
     return [F.bit_count(F.col(a)[j].bitwiseXOR(F.col(b)[j])) for j in range(segments)]
 
 
+def place(salt: Column) -> Column:
+    """A part of a bucket as one number, by which rows sort without being compared."""
+    return F.shiftleft(F.col("j").cast("long"), WIDTH + SALT_BITS).bitwiseOR(F.shiftleft(F.col("part").cast("long"), SALT_BITS)).bitwiseOR(salt.cast("long")).alias("place")
+
+
 def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector: str = "embedding", k: int = K) -> DataFrame:
     """(query_id, rank, neighbour_id, distance): the k nearest others of each query row."""
     spark = vectors.sparkSession
@@ -66,7 +72,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector:
     buckets = stored(index.groupBy("j", "part").agg(F.ceil(F.count("*") / BUCKET_CODES).cast("int").alias("salts")), "buckets")
     if segments << WIDTH <= MOST_BUCKETS:
         buckets = F.broadcast(buckets)
-    index = index.join(buckets, ["j", "part"]).select("j", "part", "code", "ids", F.pmod(F.xxhash64("code"), F.col("salts")).cast("int").alias("salt"))
+    index = index.join(buckets, ["j", "part"]).select(place(F.pmod(F.xxhash64("code"), F.col("salts"))), "code", "ids")
     empty = F.array().cast(f"array<struct<distance:int,id:{kind}>>")
     asked = rows.where("asks").groupBy(F.col("code").alias("q")).agg(F.count("*").alias("n"))
     pending, done = stored(asked.select("q", empty.alias("found")), "pending"), []
@@ -79,7 +85,8 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector:
         spread_out = pending.select("q", F.posexplode(F.slice("q", 1, F.col("looks"))).alias("j", "own")).repartition(tasks, "q", "j")
         probes = spread_out.select("q", "j", "own", F.explode(masks).alias("mask")).select("q", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
         probes = probes.join(buckets, ["j", "part"]).select("q", "j", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        hits = probes.hint("merge").join(index, ["j", "part", "salt"])  # an explosion looks as small as what explodes, and would be broadcast
+        probes = probes.select("q", "j", place(F.col("salt")))
+        hits = probes.hint("merge").join(index, "place")  # an explosion looks as small as what explodes, and would be broadcast
         differ = differing("q", "code", segments)
         first = reduce(Column.__and__, [F.when(F.col("j") > i, d > s).otherwise(d >= s) for i, d in enumerate(differ)])
         seen = hits.where(first).select("q", reduce(Column.__add__, differ).alias("distance"), F.explode("ids").alias("id"))
