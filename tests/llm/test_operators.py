@@ -679,6 +679,35 @@ def test_topk_of_other_widths_ids_and_full_buckets(spark, monkeypatch):
         assert [(r.distance, r.neighbour_id) for r in sorted((r for r in out if r.query_id == q), key=lambda r: r.rank)] == near
 
 
+def rows_made(spark, since, node):
+    """Rows that nodes of a name made, in SQL executions from a number on."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store, made = spark._jsparkSession.sharedState().statusStore(), 0
+    for i in range(since, store.executionsCount()):
+        run = store.executionsList(i, 1).head()
+        values, nodes = store.executionMetrics(run.executionId()), store.planGraph(run.executionId()).allNodes()
+        for n in (nodes.apply(k) for k in range(nodes.size())):
+            metrics = [n.metrics().apply(k) for k in range(n.metrics().size())] if n.name() == node else []
+            got = [values.get(m.accumulatorId()) for m in metrics if m.name() == "number of output rows"]
+            made += sum(int(v.get().replace(",", "")) for v in got if v.isDefined())
+    return made
+
+
+def test_topk_makes_only_pairs_that_may_be_among_the_nearest(spark):
+    """Of unlike codes, a join makes pairs within a query's k-th distance so far, not all that share a bucket."""
+    rng = np.random.default_rng(11)
+    v = rng.normal(size=(3000, 64))
+    v[2900:] = v[:100] * rng.choice([1, 1, 1, -1], size=(100, 64))  # some nearer ones
+    ids, code = range(0, 3000, 50), v > 0
+    since = spark._jsparkSession.sharedState().statusStore().executionsCount()
+    out = topk.search(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    got = {}
+    for r in sorted(out, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.distance, r.neighbour_id))
+    assert got == {q: sorted((int((code[q] != x).sum()), i) for i, x in enumerate(code) if i != q)[:10] for q in ids}
+    assert 0 < rows_made(spark, since, "SortMergeJoin") < 3000 * len(ids) / 20
+
+
 CLASHING = "_0_ key n id path licence origin given own dir hot salt start end share slots from_block _sum ranges removed_lines node wide _source _hash slot place words _words _at kept n_words pieces _conv _turn up parent_turn".split()
 
 

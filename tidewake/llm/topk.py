@@ -5,8 +5,10 @@ shorter vector lacks count as not. Codes are cut into segments of WIDTH bits, an
 share a bucket. Round s looks into the buckets whose segment differs from the query's in
 just s bits, for all segments. All codes within segments * (s + 1) - 1 bits have then been
 seen, so a query is done when its k-th verified distance is at most that; a query whose k-th distance
-so far is d looks only into its first d - segments * s + 1 segments, which cover d. A pair is
-taken only from the first bucket in which it shows up, so none is seen twice.
+so far is d looks only into its first d - segments * s + 1 segments, which cover d, and takes only
+codes within d. A pair is taken only from the first bucket in which it shows up, so none is seen twice.
+The bound on the distance limits what the join makes, not what it compares: codes of a bucket are all
+compared, and with queries in proportion to the rows these comparisons grow much faster than the rows.
 
 Equal codes are searched for once, with their smallest ids (k + 1 of them, as a
 query is not its own neighbour); so groups of copies neither fill buckets nor drop out. Buckets
@@ -81,15 +83,17 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector:
     for s in range(WIDTH + 1):
         before_round = pending
         masks = F.split(F.lit(",".join(str(sum(1 << b for b in c)) for c in combinations(range(WIDTH), s))), ",").cast("array<int>")  # folded to a constant
-        pending = pending.withColumn("looks", F.when(F.size("found") >= enough, F.least(F.lit(segments), last - segments * s + 1)).otherwise(segments))
-        spread_out = pending.select("q", F.posexplode(F.slice("q", 1, F.col("looks"))).alias("j", "own")).repartition(tasks, "q", "j")
-        probes = spread_out.select("q", "j", "own", F.explode(masks).alias("mask")).select("q", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
-        probes = probes.join(buckets, ["j", "part"]).select("q", "j", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-        probes = probes.select("q", "j", place(F.col("salt")))
+        pending = pending.withColumn("most", F.when(F.size("found") >= enough, last).otherwise(segments * WIDTH))
+        pending = pending.withColumn("looks", F.least(F.lit(segments), F.col("most") - segments * s + 1))
+        spread_out = pending.select("q", "most", F.posexplode(F.slice("q", 1, F.col("looks"))).alias("j", "own")).repartition(tasks, "q", "j")
+        probes = spread_out.select("q", "most", "j", "own", F.explode(masks).alias("mask")).select("q", "most", "j", F.col("own").bitwiseXOR(F.col("mask")).alias("part"))
+        probes = probes.join(buckets, ["j", "part"]).select("q", "most", "j", "part", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+        probes = probes.select("q", "most", "j", place(F.col("salt")))
         hits = probes.hint("merge").join(index, "place")  # an explosion looks as small as what explodes, and would be broadcast
         differ = differing("q", "code", segments)
         first = reduce(Column.__and__, [F.when(F.col("j") > i, d > s).otherwise(d >= s) for i, d in enumerate(differ)])
-        seen = hits.where(first).select("q", reduce(Column.__add__, differ).alias("distance"), F.explode("ids").alias("id"))
+        distance = reduce(Column.__add__, differ)
+        seen = hits.where((distance <= F.col("most")) & first).select("q", distance.alias("distance"), F.explode("ids").alias("id"))
         known = pending.select("q", F.explode("found").alias("f")).select("q", "f.distance", "f.id")
         best = seen.union(known).withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy("distance", "id"))).where(F.col("r") <= k + 1)
         best = best.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("distance", "id"))).alias("found"))
