@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewake.operators.dealing import parts
 from tidewake.schemas import CHECKS, ENUMS, FOREIGN_KEYS, UNIQUE
 
 
@@ -39,6 +40,15 @@ def fk_violations(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def unique_violations(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, violations): values of a unique key that more than one row has."""
-    parts = [tables[t].groupBy(*keys).count().where("count > 1").agg(F.count("*").alias("violations")).select(F.lit(t).alias("table_name"), "violations") for t, keys in UNIQUE if t in tables]
-    return reduce(DataFrame.unionByName, parts)
+    """(table_name, violations): values of a unique key that more than one row has.
+
+    Nearly each row has its own value, so that counting in the tasks that read would only fill them; rows are dealt out first.
+    Rows that share a value are counted in one task, which holds it once.
+    """
+    found = []
+    for t, keys in UNIQUE:
+        if t in tables:
+            rows = tables[t].select(*keys)
+            counts = rows.repartition(parts(rows, rows.count()), *keys).groupBy(*keys).count()
+            found.append(counts.where("count > 1").agg(F.count("*").alias("violations")).select(F.lit(t).alias("table_name"), "violations"))
+    return reduce(DataFrame.unionByName, found)
